@@ -106,7 +106,7 @@ def metric_scaled_rmse(mart: Mart) -> DataFrame:
 @query
 def minmax_scale(mart: Mart) -> DataFrame:
     scaled = metrics.add_minmax(common.train_spine(mart), LABEL, ["store_id"], "scaled")
-    return rounded(scaled.select("id", "date", LABEL, "scaled"), "scaled")
+    return scaled.select("id", "date", LABEL, "scaled")
 
 
 @query

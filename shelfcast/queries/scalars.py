@@ -88,7 +88,7 @@ def parse_us_date(mart: Mart) -> DataFrame:
     return written.select(
         "*",
         dates.parse_us_date(F.col("us_text")).alias("us_date"),
-        dates.parse_us_date(F.col("iso_text")).alias("iso_date"),
+        dates.parse_us_date(F.col("iso_text")).cast("string").alias("iso_date"),
     )
 
 

@@ -128,7 +128,7 @@ def holiday_lag_flags(mart: Mart) -> DataFrame:
 
 @query
 def dynamic_window_price_mean(mart: Mart) -> DataFrame:
-    return rounded(pricing.add_price_mean(_prices(mart)), "roll_mean")
+    return pricing.add_price_mean(_prices(mart))
 
 
 @query
@@ -138,7 +138,7 @@ def promo_hike_flags(mart: Mart) -> DataFrame:
 
 @query
 def price_lag_diff_change(mart: Mart) -> DataFrame:
-    return rounded(pricing.add_price_changes(_prices(mart)), "sell_price_diff", "sell_price_change")
+    return pricing.add_price_changes(_prices(mart))
 
 
 @query
