@@ -127,11 +127,11 @@ CHECKS["join_calendar_features"] = with_total("SELECT * FROM label_days")
 CHECKS["assemble_label_encoded_table"] = f"""
     SELECT s.id, s.date, s.v AS "Value", s.sell_price, label_days.* EXCLUDE (date, d, wm_yr_wk), {", ".join("i." + c for c in IDS.split(", "))}
     FROM spine s JOIN label_days ON s.date = label_days.date JOIN item_codes i ON i.id = s.id"""
-DIGITS = " || ".join(f"CAST({c} AS VARCHAR)" for c in [*SERIES_FLAGS, "snap", '"MLB"', '"MLB_Lead_1"', '"MLB_Lead_2"'])
+DIGITS = " || ".join(f"CAST({c} AS VARCHAR)" for c in SERIES_FLAGS)
 COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in [*STAT_COLS, "promo"])
 CHECKS["assemble_series_model_table"] = f"""
     SELECT s.date, s.state_id, id, s."Value", s.sell_price, promo, hike, {", ".join(r6(c, c) for c in STAT_COLS)},
-           item_id, dept_id, cat_id, store_id, {DIGITS} AS flags
+           item_id, dept_id, cat_id, store_id, {DIGITS} AS flags, snap, "MLB", "MLB_Lead_1", "MLB_Lead_2"
     FROM shifted s JOIN (SELECT id, date, {FLAGS} FROM price_mean_train) USING (id, date)
     JOIN series_days sd ON sd.date = s.date
     JOIN state_days st ON st.date = s.date AND st.state_id = s.state_id

@@ -7,6 +7,7 @@ windows that follow.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfcast.columns import DAY_LIMIT, LABEL
 from shelfcast.functions.dates import football_flags
 from shelfcast.functions.text import series_key
+from shelfcast.operators.filters import from_date
 from shelfcast.session import fits, small_side
 
 
@@ -42,12 +44,22 @@ def attach_demand(spine: DataFrame, demand: DataFrame) -> DataFrame:
     return spine.join(demand.select("store_id", "item_id", "d", LABEL), ["store_id", "item_id", "d"], "left")
 
 
-def make_spine(prices: DataFrame, calendar: DataFrame, demand: DataFrame, small: bool | None = None) -> DataFrame:
-    """Priced days with their sales, keyed (id, date) and partitioned by id."""
+def make_spine(
+    prices: DataFrame, calendar: DataFrame, demand: DataFrame, small: bool | None = None, since: dt.date | None = None
+) -> DataFrame:
+    """Priced days with their sales, keyed (id, date) and partitioned by id.
+
+    With ``since`` only the days from then on: prices and sales are cut to them before
+    they are shuffled.
+    """
     key = series_key("item_id", "store_id", suffix="evaluation").alias("id")
-    days = price_weeks_to_days(prices.select(key, "*").repartition("id"), calendar, small)
-    sold = demand.select("id", "d", LABEL).repartition("id")
-    return days.join(sold, ["id", "d"], "left")
+    prices, demand = prices.select(key, "*"), demand.select("id", "d", LABEL)
+    if since:
+        calendar = from_date(calendar, since)
+        prices = join_days(prices, calendar.select("wm_yr_wk").distinct(), "wm_yr_wk", "left_semi", small)
+        demand = join_days(demand, calendar.select("d"), "d", "left_semi", small)
+    days = price_weeks_to_days(prices.repartition("id"), calendar, small)
+    return days.join(demand.repartition("id"), ["id", "d"], "left")
 
 
 def prices_in_calendar(prices: DataFrame, calendar: DataFrame) -> DataFrame:

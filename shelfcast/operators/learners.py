@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
@@ -56,16 +57,26 @@ def fit_boosted(
     return boosted.fit(assemble(train.filter(F.col(LABEL).isNotNull()), columns))
 
 
+def _fit_iterative(glm: GeneralizedLinearRegression, train: DataFrame, columns: Sequence[str]) -> Model:
+    """Every iteration reads the rows again, so their vectors are kept for the fit."""
+    ready = assemble(train.filter(F.col(LABEL).isNotNull()), columns).select(LABEL, "features")
+    ready.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return glm.fit(ready)
+    finally:
+        ready.unpersist()
+
+
 def fit_poisson(train: DataFrame, columns: Sequence[str]) -> Model:
     glm = GeneralizedLinearRegression(labelCol=LABEL, family="poisson", link="log", maxIter=25, regParam=0.01)
-    return glm.fit(assemble(train.filter(F.col(LABEL).isNotNull()), columns))
+    return _fit_iterative(glm, train, columns)
 
 
 def fit_tweedie(train: DataFrame, columns: Sequence[str], power: float = 1.1) -> Model:
     glm = GeneralizedLinearRegression(
         labelCol=LABEL, family="tweedie", variancePower=power, linkPower=0.0, maxIter=25, regParam=0.01
     )
-    return glm.fit(assemble(train.filter(F.col(LABEL).isNotNull()), columns))
+    return _fit_iterative(glm, train, columns)
 
 
 def importances(model: Model, columns: Sequence[str], train: DataFrame) -> DataFrame:

@@ -144,15 +144,19 @@ def series_table(
     spine: DataFrame, series: DataFrame, day_table: DataFrame, state_days: DataFrame, cutoff: dt.date,
     start: dt.date | None = None, slopes: bool = True, consistent: bool = False, small: bool | None = None,
 ) -> DataFrame:
-    """Training table: sales, price flags, shifted statistics and day indicators, complete rows."""
+    """Training table: sales, price flags, shifted statistics and day indicators.
+
+    Only complete rows remain. Rows and days are checked for that before they meet, so
+    the check does not run over the wide joined row.
+    """
     known = filters.train_rows(spine, cutoff).select("id", "date", LABEL, "sell_price")
     known = price_features(known)
-    known = windows.add_shifted_stats(known, slopes=slopes, consistent=consistent)
+    known = filters.complete_rows(windows.add_shifted_stats(known, slopes=slopes, consistent=consistent))
+    if start:
+        known = filters.from_date(known, start)
     known = known.join(series.select(*SERIES_COLS), "id")
-    table = joins.join_days(known, day_table, small=small)
-    table = joins.join_days(table, state_days, ["date", "state_id"], small=small)
-    table = filters.complete_rows(table)
-    return filters.from_date(table, start) if start else table
+    table = joins.join_days(known, filters.complete_rows(day_table), small=small)
+    return joins.join_days(table, filters.complete_rows(state_days), ["date", "state_id"], small=small)
 
 
 def future_table(

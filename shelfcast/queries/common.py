@@ -44,9 +44,23 @@ def train_spine(mart: Mart) -> DataFrame:
     return filters.train_rows(spine(mart), retail.CUTOFF)
 
 
+def recent_spine(mart: Mart) -> DataFrame:
+    """The horizon and the 56 days before it.
+
+    The mart's prices are carried forward, so a series has a row on every day after its
+    first and 56 days are the 56 rows the forecasts look back on.
+    """
+    since = retail.CUTOFF - dt.timedelta(days=56)
+    return joins.make_spine(mart.prices, mart.calendar, mart.sales, mart.small_days, since)
+
+
 def facts(mart: Mart) -> DataFrame:
     """Spine with the hierarchy."""
-    return spine(mart).drop("item_id", "store_id").join(mart.series, "id")
+    return with_hierarchy(mart, spine(mart))
+
+
+def with_hierarchy(mart: Mart, rows: DataFrame) -> DataFrame:
+    return rows.drop("item_id", "store_id").join(mart.series, "id")
 
 
 def dated_sales(mart: Mart) -> DataFrame:
@@ -96,7 +110,7 @@ def two_forecasts(mart: Mart, source: DataFrame | None = None) -> DataFrame:
 
     a is the mean of the 28 days that end 28 days earlier, b the sales 28 days earlier.
     """
-    rows = (spine(mart) if source is None else source).select("id", "date", LABEL)
+    rows = (recent_spine(mart) if source is None else source).select("id", "date", LABEL)
     scored = rows.select(
         "id", "date",
         *[c.alias("a") for c in windows.rolling_mean_of_lag_columns(lags=(28,), windows=(28,))],
@@ -121,8 +135,8 @@ def forecast_wide(mart: Mart, name: str = "a") -> DataFrame:
 
 
 def rolled_rows(mart: Mart, keys: list[str]) -> DataFrame:
-    """Daily sums of the spine over ``keys``, horizon rows included with a missing label."""
-    sums = rollup.sum_by(facts(mart), keys)
+    """Recent daily sums over ``keys``, horizon rows included with a missing label."""
+    sums = rollup.sum_by(with_hierarchy(mart, recent_spine(mart)) if keys else recent_spine(mart), keys)
     name = series_key(*keys) if keys else F.lit("total")
     return sums.withColumn("id", name)
 

@@ -86,9 +86,10 @@ def assemble_label_encoded_table(mart: Mart) -> DataFrame:
     return tables.label_table(common.spine(mart), days, encode.encode_items(mart.series), mart.small_days)
 
 
-def packed(df: DataFrame, flags: list[str]) -> DataFrame:
-    """The 0/1 columns as one text of digits: a 120-column table in 20 columns."""
-    return df.withColumn("flags", F.concat(*[F.col(c).cast("string") for c in flags])).drop(*flags)
+def packed(days: DataFrame) -> DataFrame:
+    """The 0/1 columns of a day table as one text of digits, missing where one is."""
+    flags = [c for c in days.columns if c != "date"]
+    return days.select("date", F.concat(*[F.col(c).cast("string") for c in flags]).alias("flags"))
 
 
 STAT_COLS = [f"Roll_{s}_{n}_Shift" for s in ("Mean", "Sd", "Lm") for n in (28, 7, 14)]
@@ -96,9 +97,13 @@ STAT_COLS = [f"Roll_{s}_{n}_Shift" for s in ("Mean", "Sd", "Lm") for n in (28, 7
 
 @query
 def assemble_series_model_table(mart: Mart) -> DataFrame:
-    table = common.training_table(mart, start=common.TRAIN_START)
-    flags = [c for c in common.series_days(mart).columns if c != "date"] + ["snap", "MLB", "MLB_Lead_1", "MLB_Lead_2"]
-    return packed(rounded(table, *STAT_COLS), flags)
+    """The hundred day indicators travel as one packed column."""
+    days = packed(common.series_days(mart))
+    table = tables.series_table(
+        common.spine(mart), mart.series, days, common.state_days(mart), retail.CUTOFF,
+        start=common.TRAIN_START, small=mart.small_days,
+    )
+    return rounded(table, *STAT_COLS)
 
 
 @query

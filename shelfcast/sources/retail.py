@@ -160,25 +160,17 @@ class Mart:
 
     # -- facts --------------------------------------------------------------
     def _make_cells(self) -> DataFrame:
-        brand = F.substring("p_brand", 7, 9).cast("int")
         line = F.floor(F.col("p_partkey") / PARTS_PER_LINE).cast("string")
         part = self._read("part").select(
-            F.col("p_partkey").alias("l_partkey"),
-            F.concat_ws("_", F.col("p_brand"), line).alias("item_id"),
-            F.concat(F.lit("D"), F.floor((brand - 1) / 5).cast("string")).alias("dept_id"),
-            F.concat(F.lit("C"), F.floor((brand - 1) / 10).cast("string")).alias("cat_id"),
+            F.col("p_partkey").alias("l_partkey"), F.concat_ws("_", F.col("p_brand"), line).alias("item_id")
         )
         region = self._read("region").join(
             self._read("nation"), F.col("r_regionkey") == F.col("n_regionkey")
-        ).select("n_nationkey", "r_name")
+        ).select("n_nationkey", F.col("r_name").alias("store_id"))
         store = (
             self._read("supplier")
             .join(small_side(region, 1000), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.col("s_suppkey").alias("l_suppkey"),
-                F.col("r_name").alias("store_id"),
-                F.when(F.col("r_name") == "AMERICA", "AM").when(F.col("r_name") == "ASIA", "AS").otherwise("EM").alias("state_id"),
-            )
+            .select(F.col("s_suppkey").alias("l_suppkey"), "store_id")
         )
         lines = self._read("lineitem").select(
             "l_partkey",
@@ -187,13 +179,25 @@ class Mart:
             F.col("l_quantity").cast("bigint").alias("qty"),
             F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
         )
-        keys = ["item_id", "dept_id", "cat_id", "store_id", "state_id"]
+        # The rest of the hierarchy follows from item and store, so it stays out of the keys.
+        brand = F.regexp_extract("item_id", "#([0-9]+)_", 1).cast("int")
+        state = F.when(F.col("store_id") == "AMERICA", "AM").when(F.col("store_id") == "ASIA", "AS").otherwise("EM")
         return (
             lines.join(part, "l_partkey")
             .join(store, "l_suppkey")
-            .groupBy(*keys, "date")
+            .groupBy("item_id", "store_id", "date")
             .agg(F.sum("qty").alias("qty"), F.sum("cents").alias("cents"))
-            .select(series_key("item_id", "store_id", suffix="evaluation").alias("id"), *keys, "date", "qty", "cents")
+            .select(
+                series_key("item_id", "store_id", suffix="evaluation").alias("id"),
+                "item_id",
+                F.concat(F.lit("D"), F.floor((brand - 1) / 5).cast("string")).alias("dept_id"),
+                F.concat(F.lit("C"), F.floor((brand - 1) / 10).cast("string")).alias("cat_id"),
+                "store_id",
+                state.alias("state_id"),
+                "date",
+                "qty",
+                "cents",
+            )
         )
 
     @property
