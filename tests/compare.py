@@ -1,12 +1,10 @@
-"""Side-by-side run of a query and its SQL check."""
+"""Side-by-side run of a query and its SQL check, compared row for row in DuckDB."""
 
 from __future__ import annotations
 
 import os
 
 import duckdb
-import numpy as np
-import pandas as pd
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -26,22 +24,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _plain(df: pd.DataFrame) -> pd.DataFrame:
-    out = {}
-    for name in sorted(df.columns):
-        col = df[name]
-        if pd.api.types.is_bool_dtype(col):
-            out[name] = col.astype(object)
-        elif pd.api.types.is_numeric_dtype(col):
-            out[name] = col.astype("float64").to_numpy(na_value=np.nan)
-        elif pd.api.types.is_datetime64_any_dtype(col):
-            out[name] = col.astype("datetime64[s]").astype(str)
-        else:
-            out[name] = [None if v is None or v is pd.NaT or v != v else str(v)[:10] if hasattr(v, "year") else v for v in col]
-    return pd.DataFrame(out)
-
-
-def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str, folder: str) -> str | None:
     """What differs between the two results, or None."""
     relation = con.sql(sql)
     types = {c: str(t) for c, t in zip(relation.columns, relation.types)}
@@ -51,19 +34,16 @@ def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | Non
     odd = {c: (t, types[c]) for c, t in mine.items() if SAME_TYPE.get(t) != types[c]}
     if odd:
         return f"types: {dict(list(odd.items())[:9])}"
-    left, right = _plain(spark_df.toPandas()), _plain(relation.df())
-    if len(left) != len(right):
-        return f"rows: query {len(left)}, SQL {len(right)}"
-    order = [c for c in left.columns if left[c].dtype == object] + [c for c in left.columns if left[c].dtype != object]
-    left = left.sort_values(order, kind="stable", na_position="last").reset_index(drop=True)
-    right = right.sort_values(order, kind="stable", na_position="last").reset_index(drop=True)
-    for c in left.columns:
-        a, b = left[c], right[c]
-        if a.dtype != object and b.dtype != object:
-            same = (a == b) & (np.signbit(a) == np.signbit(b)) | (a.isna() & b.isna())
-        else:
-            same = (a == b) | (a.isna() & b.isna())
-        if not same.all():
-            at = int((~same).to_numpy().argmax())
-            return f"column {c}: {int((~same).sum())} rows differ, first {a[at]!r} and {b[at]!r} in {left.loc[at].to_dict()}"[:900]
+    spark_df.write.parquet(folder)
+    con.execute(f"CREATE OR REPLACE TEMP TABLE wanted AS {sql}")
+    columns = ", ".join(f'"{c}"' for c in sorted(mine))
+    got = f"SELECT {columns} FROM '{folder}/*.parquet'"
+    wanted = f"SELECT {columns} FROM wanted"
+    counts = [con.sql(f"SELECT count(*) FROM ({q})").fetchone()[0] for q in (got, wanted)]
+    if counts[0] != counts[1]:
+        return f"rows: query {counts[0]}, SQL {counts[1]}"
+    extra = con.sql(f"SELECT * FROM ({got} EXCEPT ALL {wanted}) LIMIT 3").fetchall()
+    if extra:
+        lost = con.sql(f"SELECT * FROM ({wanted} EXCEPT ALL {got}) LIMIT 3").fetchall()
+        return f"query only {str(extra)[:600]}, SQL only {str(lost)[:600]}"
     return None
