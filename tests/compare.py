@@ -39,11 +39,11 @@ def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str, folder: str)
     columns = ", ".join(f'"{c}"' for c in sorted(mine))
     got = f"SELECT {columns} FROM '{folder}/*.parquet'"
     wanted = f"SELECT {columns} FROM wanted"
-    counts = [con.sql(f"SELECT count(*) FROM ({q})").fetchone()[0] for q in (got, wanted)]
+    counts = [con.execute(f"SELECT count(*) FROM ({q})").fetchone()[0] for q in (got, wanted)]
     if counts[0] != counts[1]:
         return f"rows: query {counts[0]}, SQL {counts[1]}"
-    extra = con.sql(f"SELECT * FROM ({got} EXCEPT ALL {wanted}) LIMIT 3").fetchall()
+    extra = con.execute(f"SELECT * FROM ({got} EXCEPT ALL {wanted}) LIMIT 3").fetchall()
     if extra:
-        lost = con.sql(f"SELECT * FROM ({wanted} EXCEPT ALL {got}) LIMIT 3").fetchall()
+        lost = con.execute(f"SELECT * FROM ({wanted} EXCEPT ALL {got}) LIMIT 3").fetchall()
         return f"query only {str(extra)[:600]}, SQL only {str(lost)[:600]}"
     return None
