@@ -214,6 +214,18 @@ CTES["series_days"] = f"""
            lag(event_Thanksgiving, 1) OVER (ORDER BY date) AS event_Thanksgiving_Lag_1,
            lag(event_Christmas, 1) OVER (ORDER BY date) AS event_Christmas_Lag_1
     FROM wide JOIN star USING (date)"""
+CTES["series_days_future"] = CTES["series_days"] + f" WHERE date >= {CUTOFF}"
+CTES["state_days_future"] = CTES["state_days"].replace(
+    "LEFT JOIN mlb USING (date))", f"LEFT JOIN mlb USING (date) WHERE date >= {CUTOFF})"
+)
+# The label-encoded day table over the season-filtered calendar.
+CTES["cal_season"] = "SELECT * FROM cal WHERE month IN (3, 4, 5, 6) OR year = 2001"
+_SEASON = ("date_codes", "event_codes", "anchored", "label_days")
+for _name in _SEASON:
+    _sql = re.sub(r"\bcal\b", "cal_season", CTES[_name])
+    for _other in _SEASON:
+        _sql = re.sub(rf"\b{_other}\b", f"{_other}_season", _sql)
+    CTES[f"{_name}_season"] = _sql
 HOLIDAYS = sorted([*EVENTS, "event_NA"])
 CTES["aggregate_days"] = f"""
     SELECT date, snap_AM, snap_AS, snap_EM, {", ".join("e." + c for c in HOLIDAYS)},

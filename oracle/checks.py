@@ -160,6 +160,19 @@ CHECKS["assemble_future_table"] = f"""
     JOIN series_days sd ON sd.date = s.date
     JOIN state_days st ON st.date = s.date AND st.state_id = s.state_id
     WHERE s.date >= {CUTOFF}"""
+CHECKS["assemble_future_table_sliced"] = (
+    CHECKS["assemble_future_table"]
+    .replace("JOIN series_days sd", "JOIN series_days_future sd")
+    .replace("JOIN state_days st", "JOIN state_days_future st")
+    .replace("sell_price_Lag_1 AS", f"CASE WHEN s.date = {CUTOFF} THEN 0.0::DOUBLE ELSE sell_price_Lag_1 END AS")
+    .replace("sd.* EXCLUDE (date) REPLACE (", "sd.* EXCLUDE (date) REPLACE ("
+             "coalesce(sd.event_Thanksgiving_Lag_1, 0) AS event_Thanksgiving_Lag_1, "
+             "coalesce(sd.event_Christmas_Lag_1, 0) AS event_Christmas_Lag_1, ")
+)
+CHECKS["assemble_season_label_table"] = f"""
+    SELECT s.id, s.date, s.v AS "Value", s.sell_price, label_days_season.* EXCLUDE (date, d, wm_yr_wk),
+           {", ".join("i." + c for c in IDS.split(", "))}
+    FROM spine s JOIN label_days_season ON s.date = label_days_season.date JOIN item_codes i ON i.id = s.id"""
 CHECKS["join_restrict_to_target_ids"] = wide("a")
 CHECKS["join_two_forecasts"] = f"SELECT id, key, {r6('a', 'value_x')}, {r6('b', 'value_y')} FROM fc"
 TOP5 = """SELECT id, min("Value") AS min_v, max("Value") AS max_v, avg("Value") AS mean_v

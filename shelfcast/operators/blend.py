@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.columns import DAY_LIMIT
 from shelfcast.functions.text import horizon_number, to_validation
 from shelfcast.operators.joins import join_forecasts, keep_target_ids
 from shelfcast.operators.metrics import rmse
 from shelfcast.operators.reshape import pivot_forecast
+from shelfcast.session import fits
 
 # Scaled variants and the search grid.
 VARIANTS = [0.97, 0.99, 1.01, 1.03]
@@ -66,15 +68,25 @@ def best_multiplier(search: DataFrame) -> DataFrame:
     return search.orderBy("rmse", "mult").limit(1)
 
 
-def top_down(items: DataFrame, groups: DataFrame, keys: Sequence[str] = ("store_id", "dept_id")) -> DataFrame:
+def top_down(
+    items: DataFrame,
+    groups: DataFrame,
+    keys: Sequence[str] = ("store_id", "dept_id"),
+    few_groups: bool | None = None,
+) -> DataFrame:
     """Split group forecasts to items by each item's share of its group and horizon day.
 
     ``items`` is (id, keys, h, pred), ``groups`` is (keys, h, group_pred). The group sums
-    are aggregated and joined back: a group may hold any number of items.
+    are aggregated and joined back: a group may hold any number of items. ``few_groups``
+    says that there are at most ``DAY_LIMIT`` group days, whose sums are broadcast; left
+    open, they are counted.
     """
     on = [*keys, "h"]
+    if few_groups is None:
+        few_groups = fits(groups.select(*on).distinct(), DAY_LIMIT)
     sums = items.groupBy(*on).agg(F.sum("pred").alias("_sum")).join(groups, on)
     share = F.try_divide(F.col("pred"), F.col("_sum"))
+    sums = F.broadcast(sums) if few_groups else sums
     return items.join(sums, on).select("id", "h", (share * F.col("group_pred")).alias("pred"))
 
 

@@ -17,6 +17,7 @@ from shelfcast.columns import DAY_LIMIT, LABEL
 from shelfcast.functions.dates import football_flags
 from shelfcast.functions.text import series_key
 from shelfcast.operators.filters import from_date
+from shelfcast.operators.rollup import top_series
 from shelfcast.session import fits, small_side
 
 
@@ -87,9 +88,9 @@ def sales_with_price(sales: DataFrame, prices: DataFrame, how: str = "left") ->
     return sales.join(keyed, ["store_item", "wm_yr_wk"], how)
 
 
-def top_rows(sales: DataFrame, top: DataFrame, k: int, on: str = "id") -> DataFrame:
-    """Sales of a top-k list."""
-    return sales.join(small_side(top.select(on), k), on)
+def top_rows(sales: DataFrame, stats: DataFrame, k: int, key: str = "id") -> DataFrame:
+    """Sales of the ``k`` series with the highest mean; the list of k is broadcast."""
+    return sales.join(F.broadcast(top_series(stats, k, key).select(key)), key)
 
 
 # -- side calendars ---------------------------------------------------------

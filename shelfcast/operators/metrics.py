@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.columns import LABEL
+from shelfcast.columns import DAY_LIMIT, LABEL
 from shelfcast.functions.values import scale_between
 from shelfcast.operators.windows import series_window
+from shelfcast.session import fits
 
 
 def rmse(truth: Column, estimate: Column) -> Column:
@@ -33,14 +34,20 @@ def scaled_rmse(history: DataFrame, scored: DataFrame, truth: str = LABEL, estim
     )
 
 
-def add_minmax(df: DataFrame, value: str, keys: Sequence[str], name: str) -> DataFrame:
+def add_minmax(
+    df: DataFrame, value: str, keys: Sequence[str], name: str, few_groups: bool | None = None
+) -> DataFrame:
     """Value scaled to 0..1 inside its group.
 
     The bounds are aggregated per group and joined back, so a large group is never
-    held by one task as a window would.
+    held by one task as a window would. ``few_groups`` says that there are at most
+    ``DAY_LIMIT`` groups, whose bounds are broadcast; left open, they are counted.
     """
+    if few_groups is None:
+        few_groups = fits(df.select(*keys).distinct(), DAY_LIMIT)
     bounds = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     scaled = scale_between(F.col(value), F.col("_low"), F.col("_high"))
+    bounds = F.broadcast(bounds) if few_groups else bounds
     return df.join(bounds, list(keys)).withColumn(name, scaled).drop("_low", "_high")
 
 

@@ -56,11 +56,11 @@ class Sports:
 
 
 # -- day tables -------------------------------------------------------------
-def event_codes(calendar: DataFrame) -> DataFrame:
-    """Event codes with the next two days' codes; the calendar's tail is filled with 1."""
+def event_codes(calendar: DataFrame, tail: int = 1) -> DataFrame:
+    """Event codes with the next two days' codes; past the calendar's end the code is ``tail``."""
     codes = encode.encode_events(calendar)
     names = [c for c in codes.columns if c != "date"]
-    return windows.lead_days(codes, names, (1, 2)).fillna(1)
+    return windows.lead_days(codes, names, (1, 2)).fillna(tail)
 
 
 def sports_with_leads(sports: DataFrame, steps: Sequence[int] = (1,)) -> DataFrame:
@@ -161,15 +161,20 @@ def series_table(
 
 def future_table(
     spine: DataFrame, series: DataFrame, day_table: DataFrame, state_days: DataFrame, cutoff: dt.date,
-    slopes: bool = True, small: bool | None = None,
+    slopes: bool = True, small: bool | None = None, slice_price_lag: bool = False,
 ) -> DataFrame:
     """Horizon table with the columns of ``series_table`` bar the label.
 
     The price window runs over history and future; the rolling statistics come from the
-    last known days moved 28 days ahead; what is missing becomes 0.
+    last known days moved 28 days ahead; what is missing becomes 0. Yesterday's price of
+    the first horizon day is the last known one, or missing with ``slice_price_lag``.
     """
-    priced = pricing.add_price_changes(price_features(spine.select("id", "date", LABEL, "sell_price")))
-    future = filters.eval_rows(priced, cutoff).drop("sell_price_diff", "sell_price_change")
+    priced = price_features(spine.select("id", "date", LABEL, "sell_price"))
+    if slice_price_lag:
+        future = pricing.add_price_changes(filters.eval_rows(priced, cutoff))
+    else:
+        future = filters.eval_rows(pricing.add_price_changes(priced), cutoff)
+    future = future.drop("sell_price_diff", "sell_price_change")
     stats = windows.stats_for_horizon(filters.train_rows(spine, cutoff), slopes=slopes)
     table = future.join(stats, ["id", "date"]).join(series.select(*SERIES_COLS), "id")
     table = joins.join_days(table, day_table, small=small)

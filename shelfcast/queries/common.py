@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.columns import HIERARCHY, LABEL, SERIES_COLS
+from shelfcast.columns import DAY_LIMIT, HORIZON, LABEL
 from shelfcast.functions.text import horizon_label, series_key
-from shelfcast.operators import filters, joins, reshape, rollup, windows
+from shelfcast.operators import encode, filters, joins, reshape, rollup, windows
 from shelfcast.plans import tables
+from shelfcast.session import fits
 from shelfcast.sources import retail
 from shelfcast.sources.retail import Mart, open_mart
 
@@ -84,13 +85,25 @@ def wide_calendar(mart: Mart) -> DataFrame:
     )
 
 
-def series_days(mart: Mart) -> DataFrame:
+def series_days(mart: Mart, since: dt.date = retail.START) -> DataFrame:
     football = joins.football_days(mart.calendar)
-    return tables.series_day_table(wide_calendar(mart), football, sports(mart), retail.RACES)
+    wide = filters.from_date(wide_calendar(mart), since)
+    return tables.series_day_table(wide, football, sports(mart), retail.RACES)
 
 
-def state_days(mart: Mart) -> DataFrame:
-    return tables.state_day_table(mart.calendar, mart.side("mlb_games"), small=mart.small_days)
+def state_days(mart: Mart, since: dt.date = retail.START) -> DataFrame:
+    calendar = filters.from_date(mart.calendar, since)
+    return tables.state_day_table(calendar, mart.side("mlb_games"), small=mart.small_days)
+
+
+def season_label_table(mart: Mart) -> DataFrame:
+    """Label-encoded table of a season-filtered calendar: its leads go row by row, so the
+    last day of a season looks ahead to the first day of the next."""
+    calendar = filters.season_or_year(mart.calendar, [3, 4, 5, 6], LAST_YEAR)
+    prices = joins.prices_in_calendar(mart.prices, calendar)
+    rows = joins.make_spine(prices, calendar, mart.sales, mart.small_days)
+    days = tables.label_day_table(calendar, sports(mart))
+    return tables.label_table(rows, days, encode.encode_items(mart.series), mart.small_days)
 
 
 def training_table(mart: Mart, **options) -> DataFrame:
@@ -105,6 +118,13 @@ def horizon_table(mart: Mart, **options) -> DataFrame:
     )
 
 
+def sliced_horizon_table(mart: Mart) -> DataFrame:
+    return tables.future_table(
+        spine(mart), mart.series, series_days(mart, retail.CUTOFF), state_days(mart, retail.CUTOFF), retail.CUTOFF,
+        small=mart.small_days, slice_price_lag=True,
+    )
+
+
 def two_forecasts(mart: Mart, source: DataFrame | None = None) -> DataFrame:
     """Two forecasts without a model, on the horizon: (id, date, h, a, b).
 
@@ -134,6 +154,11 @@ def forecast_wide(mart: Mart, name: str = "a") -> DataFrame:
     return reshape.pivot_forecast(forecast_rows(mart, name))
 
 
+def few_groups(mart: Mart, keys: list[str]) -> bool:
+    """Are the groups of these hierarchy columns, times the horizon, few enough to broadcast?"""
+    return fits(mart.series.select(*keys).distinct(), DAY_LIMIT // HORIZON)
+
+
 def rolled_rows(mart: Mart, keys: list[str]) -> DataFrame:
     """Recent daily sums over ``keys``, horizon rows included with a missing label."""
     sums = rollup.sum_by(with_hierarchy(mart, recent_spine(mart)) if keys else recent_spine(mart), keys)

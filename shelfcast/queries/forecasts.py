@@ -69,7 +69,7 @@ def topdown_disaggregate(mart: Mart) -> DataFrame:
     names = rows.select("id", *keys).distinct()
     groups = common.forecast_rows(mart, "a", rows).join(names, "id")
     groups = groups.select(*keys, "h", F.col("pred").alias("group_pred"))
-    return rounded(blend.top_down(items, groups, keys), "pred")
+    return rounded(blend.top_down(items, groups, keys, common.few_groups(mart, keys)), "pred")
 
 
 @query

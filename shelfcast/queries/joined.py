@@ -118,6 +118,18 @@ def assemble_future_table(mart: Mart) -> DataFrame:
     return rounded(common.horizon_table(mart), *STAT_COLS)
 
 
+@query
+def assemble_future_table_sliced(mart: Mart) -> DataFrame:
+    """The horizon table with leads and lags that end at the edges of the 28 days."""
+    return rounded(common.sliced_horizon_table(mart), *STAT_COLS)
+
+
+@query
+def assemble_season_label_table(mart: Mart) -> DataFrame:
+    """The label-encoded table over one season of every year and the whole last year."""
+    return common.season_label_table(mart)
+
+
 @query
 def join_restrict_to_target_ids(mart: Mart) -> DataFrame:
     wide = joins.keep_target_ids(mart.template, common.forecast_wide(mart))
@@ -132,8 +144,7 @@ def join_two_forecasts(mart: Mart) -> DataFrame:
 
 @query
 def join_top_items(mart: Mart) -> DataFrame:
-    top = rollup.top_series(rollup.series_stats(mart.sales), 5)
-    return joins.top_rows(mart.sales.select("id", "d", LABEL), top, 5)
+    return joins.top_rows(mart.sales.select("id", "d", LABEL), rollup.series_stats(mart.sales), 5)
 
 
 @query

@@ -33,22 +33,20 @@ def _aggregate(mart: Mart, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     return train, future
 
 
-def _label_tables(mart: Mart, months: bool = False) -> tuple[DataFrame, DataFrame, list[str]]:
+def _label_tables(mart: Mart, season: bool = False) -> tuple[DataFrame, DataFrame, list[str]]:
     """Label-encoded training and horizon rows, cut from one written table.
 
     The model reads its rows many times, so they are written once. The keys of the
-    stores stay beside their codes.
+    stores stay beside their codes. The season table has no lags.
     """
-    days = tables.label_day_table(mart.calendar, common.sports(mart))
-    spine = common.spine(mart)
-    extra = []
-    if not months:
-        spine = windows.add_lag_features(spine)
+    if season:
+        table = common.season_label_table(mart)
+    else:
+        days = tables.label_day_table(mart.calendar, common.sports(mart))
+        spine = windows.add_lag_features(common.spine(mart))
         extra = [c for c in spine.columns if c.startswith(("lag_", "rmean_")) and c != "lag_7"]
-    table = tables.label_table(spine, days, encode.encode_items(mart.series), mart.small_days, extra)
+        table = tables.label_table(spine, days, encode.encode_items(mart.series), mart.small_days, extra)
     table = table.withColumnRenamed("store_id", "store_code").join(mart.series.select("id", "store_id"), "id")
-    if months:
-        table = filters.season_or_year(table, [3, 4, 5, 6], retail.END.year)
     table = written(table, "model-table")
     columns = learners.feature_columns(table)
     return filters.train_rows(table, retail.CUTOFF), filters.eval_rows(table, retail.CUTOFF), columns
@@ -97,7 +95,7 @@ def feature_importance(mart: Mart) -> DataFrame:
 
 @query
 def gbm_global_forecast(mart: Mart) -> DataFrame:
-    train, future, columns = _label_tables(mart, months=True)
+    train, future, columns = _label_tables(mart, season=True)
     model = learners.fit_boosted(train, columns, TREES)
     return windows.horizon_index(learners.predict(model, future, columns))
 
@@ -111,14 +109,14 @@ def gbm_per_store_forecast(mart: Mart) -> DataFrame:
 
 @query
 def glm_poisson_forecast(mart: Mart) -> DataFrame:
-    train, future, columns = _label_tables(mart, months=True)
+    train, future, columns = _label_tables(mart, season=True)
     model = learners.fit_poisson(train, columns)
     return windows.horizon_index(learners.predict(model, future, columns))
 
 
 @query
 def glm_tweedie_forecast(mart: Mart) -> DataFrame:
-    train, future, columns = _label_tables(mart, months=True)
+    train, future, columns = _label_tables(mart, season=True)
     model = learners.fit_tweedie(train, columns)
     return windows.horizon_index(learners.predict(model, future, columns))
 

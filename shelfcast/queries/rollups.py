@@ -105,7 +105,7 @@ def metric_scaled_rmse(mart: Mart) -> DataFrame:
 
 @query
 def minmax_scale(mart: Mart) -> DataFrame:
-    scaled = metrics.add_minmax(common.train_spine(mart), LABEL, ["store_id"], "scaled")
+    scaled = metrics.add_minmax(common.train_spine(mart), LABEL, ["store_id"], "scaled", common.few_groups(mart, ["store_id"]))
     return scaled.select("id", "date", LABEL, "scaled")
 
 
