@@ -48,19 +48,21 @@ def attach_demand(spine: DataFrame, demand: DataFrame) -> DataFrame:
 def make_spine(
     prices: DataFrame, calendar: DataFrame, demand: DataFrame, small: bool | None = None, since: dt.date | None = None
 ) -> DataFrame:
-    """Priced days with their sales, keyed (id, date) and partitioned by id.
+    """Priced days with their sales, keyed (id, date), partitioned and sorted by it.
 
-    With ``since`` only the days from then on: prices and sales are cut to them before
-    they are shuffled.
+    Both facts are partitioned by series and merged on (id, date), the order in which
+    the windows that follow read them. The merge is asked for: compressed, a fact may
+    look small enough to broadcast when it is not. With ``since`` only the days from
+    then on: prices and sales are cut to them before they are shuffled.
     """
     key = series_key("item_id", "store_id", suffix="evaluation").alias("id")
-    prices, demand = prices.select(key, "*"), demand.select("id", "d", LABEL)
+    prices = prices.select(key, "*")
     if since:
         calendar = from_date(calendar, since)
         prices = join_days(prices, calendar.select("wm_yr_wk").distinct(), "wm_yr_wk", "left_semi", small)
-        demand = join_days(demand, calendar.select("d"), "d", "left_semi", small)
     days = price_weeks_to_days(prices.repartition("id"), calendar, small)
-    return days.join(demand.repartition("id"), ["id", "d"], "left")
+    sold = join_days(demand.select("id", "d", LABEL), calendar.select("d", "date"), "d", small=small).drop("d")
+    return days.join(sold.repartition("id").hint("merge"), ["id", "date"], "left")
 
 
 def prices_in_calendar(prices: DataFrame, calendar: DataFrame) -> DataFrame:

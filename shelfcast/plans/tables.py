@@ -150,8 +150,9 @@ def series_table(
     the check does not run over the wide joined row.
     """
     known = filters.train_rows(spine, cutoff).select("id", "date", LABEL, "sell_price")
-    known = price_features(known)
-    known = filters.complete_rows(windows.add_shifted_stats(known, slopes=slopes, consistent=consistent))
+    # The price window sorts anew, so it comes after those that use the spine's order.
+    known = windows.add_shifted_stats(known, slopes=slopes, consistent=consistent)
+    known = filters.complete_rows(price_features(known))
     if start:
         known = filters.from_date(known, start)
     known = known.join(series.select(*SERIES_COLS), "id")

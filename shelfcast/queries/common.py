@@ -106,15 +106,35 @@ def season_label_table(mart: Mart) -> DataFrame:
     return tables.label_table(rows, days, encode.encode_items(mart.series), mart.small_days)
 
 
+# Day tables of the assembled tables, written once like the other dimensions.
+def label_days_table(mart: Mart) -> DataFrame:
+    return mart.table("label-days", lambda: tables.label_day_table(mart.calendar, sports(mart)).coalesce(1))
+
+
+def series_days_table(mart: Mart) -> DataFrame:
+    return mart.table("series-days", lambda: series_days(mart).coalesce(1))
+
+
+def state_days_table(mart: Mart) -> DataFrame:
+    return mart.table("state-days", lambda: state_days(mart).coalesce(1))
+
+
+def aggregate_days_table(mart: Mart) -> DataFrame:
+    make = lambda: tables.aggregate_day_table(mart.calendar, sports(mart), retail.EVENT_VOCABULARY, retail.RACES)
+    return mart.table("aggregate-days", lambda: make().coalesce(1))
+
+
 def training_table(mart: Mart, **options) -> DataFrame:
     return tables.series_table(
-        spine(mart), mart.series, series_days(mart), state_days(mart), retail.CUTOFF, small=mart.small_days, **options
+        spine(mart), mart.series, series_days_table(mart), state_days_table(mart), retail.CUTOFF,
+        small=mart.small_days, **options,
     )
 
 
 def horizon_table(mart: Mart, **options) -> DataFrame:
     return tables.future_table(
-        spine(mart), mart.series, series_days(mart), state_days(mart), retail.CUTOFF, small=mart.small_days, **options
+        spine(mart), mart.series, series_days_table(mart), state_days_table(mart), retail.CUTOFF,
+        small=mart.small_days, **options,
     )
 
 

@@ -82,7 +82,7 @@ def join_calendar_features(mart: Mart) -> DataFrame:
 
 @query
 def assemble_label_encoded_table(mart: Mart) -> DataFrame:
-    days = tables.label_day_table(mart.calendar, common.sports(mart))
+    days = common.label_days_table(mart)
     return tables.label_table(common.spine(mart), days, encode.encode_items(mart.series), mart.small_days)
 
 
@@ -98,9 +98,9 @@ STAT_COLS = [f"Roll_{s}_{n}_Shift" for s in ("Mean", "Sd", "Lm") for n in (28, 7
 @query
 def assemble_series_model_table(mart: Mart) -> DataFrame:
     """The hundred day indicators travel as one packed column."""
-    days = packed(common.series_days(mart))
+    days = packed(common.series_days_table(mart))
     table = tables.series_table(
-        common.spine(mart), mart.series, days, common.state_days(mart), retail.CUTOFF,
+        common.spine(mart), mart.series, days, common.state_days_table(mart), retail.CUTOFF,
         start=common.TRAIN_START, small=mart.small_days,
     )
     return rounded(table, *STAT_COLS)
@@ -108,7 +108,7 @@ def assemble_series_model_table(mart: Mart) -> DataFrame:
 
 @query
 def assemble_top_level_table(mart: Mart) -> DataFrame:
-    days = tables.aggregate_day_table(mart.calendar, common.sports(mart), retail.EVENT_VOCABULARY, retail.RACES)
+    days = common.aggregate_days_table(mart)
     total = rollup.sum_by(common.dated_sales(mart), [])
     return rounded(tables.aggregate_table(total, days, small=mart.small_days), "roll_sd_28", "roll_mean_28")
 

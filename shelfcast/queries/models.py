@@ -19,7 +19,7 @@ TREES = 10
 
 def _aggregate(mart: Mart, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Training and horizon rows of an aggregate level, keys as codes beside themselves."""
-    days = tables.aggregate_day_table(mart.calendar, common.sports(mart), retail.EVENT_VOCABULARY, retail.RACES)
+    days = common.aggregate_days_table(mart)
     rolled = rollup.sum_by(common.dated_sales(mart), keys)
     train = tables.aggregate_table(rolled, days, keys, mart.small_days)
     future = tables.aggregate_future(rolled, days, retail.CUTOFF, keys, mart.small_days)
@@ -42,7 +42,7 @@ def _label_tables(mart: Mart, season: bool = False) -> tuple[DataFrame, DataFram
     if season:
         table = common.season_label_table(mart)
     else:
-        days = tables.label_day_table(mart.calendar, common.sports(mart))
+        days = common.label_days_table(mart)
         spine = windows.add_lag_features(common.spine(mart))
         extra = [c for c in spine.columns if c.startswith(("lag_", "rmean_")) and c != "lag_7"]
         table = tables.label_table(spine, days, encode.encode_items(mart.series), mart.small_days, extra)

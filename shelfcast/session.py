@@ -26,11 +26,24 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "shelfcast", master: str | None = None, **conf: str) -> SparkSession:
+# A shuffle partition of this size sorts in an executor's memory without spilling.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int, least: int = 200) -> int:
+    """Shuffle partitions for a job that shuffles ``input_bytes``; AQE merges what is too many."""
+    return max(least, -(-input_bytes // PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str = "shelfcast", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the library's settings; ``input_bytes`` sizes its shuffles."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    sized = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes))} if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

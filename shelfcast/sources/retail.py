@@ -7,6 +7,7 @@ joined and rolled up a single time however many queries follow.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -131,7 +132,8 @@ class Mart:
         # Every day table has one row per day from START to END (times the states).
         self.small_days = DAYS * len(STATES) <= DAY_LIMIT
 
-    def _table(self, name: str, make) -> DataFrame:
+    def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The table ``make`` gives, written on first use."""
         if name not in self._tables:
             self._tables[name] = written(make(), name)
         return self._tables[name]
@@ -142,15 +144,15 @@ class Mart:
     # -- dimensions ---------------------------------------------------------
     @property
     def calendar(self) -> DataFrame:
-        return self._table("calendar", lambda: make_calendar(self.spark).coalesce(1))
+        return self.table("calendar", lambda: make_calendar(self.spark).coalesce(1))
 
     def side(self, name: str) -> DataFrame:
-        return self._table(name, lambda: make_side_calendars(self.spark)[name].coalesce(1))
+        return make_side_calendars(self.spark)[name]
 
     @property
     def series(self) -> DataFrame:
         """One row per product × store that ever sold."""
-        return self._table("series", lambda: self.cells.select(*SERIES_COLS).distinct())
+        return self.table("series", lambda: self.cells.select(*SERIES_COLS).distinct())
 
     @property
     def template(self) -> DataFrame:
@@ -203,7 +205,7 @@ class Mart:
     @property
     def cells(self) -> DataFrame:
         """Units and money per series and selling day: one pass over the order lines."""
-        return self._table("cells", self._make_cells)
+        return self.table("cells", self._make_cells)
 
     def _make_prices(self) -> DataFrame:
         week = (F.floor(F.datediff("date", F.lit(START)) / 7) + 1).cast("int")
@@ -229,7 +231,7 @@ class Mart:
     @property
     def prices(self) -> DataFrame:
         """Weekly price per item and store, carried over weeks without a sale."""
-        return self._table("prices", self._make_prices)
+        return self.table("prices", self._make_prices)
 
     def _dense(self, first: dt.date, last: dt.date) -> DataFrame:
         days = self.series.select(*SERIES_COLS, F.explode(F.sequence(F.lit(first), F.lit(last))).alias("date"))
@@ -246,18 +248,18 @@ class Mart:
     @property
     def sales(self) -> DataFrame:
         """Training sales, long: every series × day before the cutoff, 0 where nothing sold."""
-        return self._table("sales", lambda: self._dense(START, CUTOFF - dt.timedelta(days=1)))
+        return self.table("sales", lambda: self._dense(START, CUTOFF - dt.timedelta(days=1)))
 
     @property
     def actuals(self) -> DataFrame:
         """What sold on the horizon days; for scoring only."""
-        return self._table("actuals", lambda: self._dense(CUTOFF, END))
+        return self.table("actuals", lambda: self._dense(CUTOFF, END))
 
     @property
     def sales_wide(self) -> DataFrame:
         """Training sales, one column per day."""
         days = [f"d_{n}" for n in range(1, TRAIN_DAYS + 1)]
-        return self._table("sales_wide", lambda: pivot_days(self.sales, SERIES_COLS, days))
+        return self.table("sales_wide", lambda: pivot_days(self.sales, SERIES_COLS, days))
 
 
 _marts: dict[tuple[str, str], Mart] = {}

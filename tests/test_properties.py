@@ -9,6 +9,7 @@ from shelfcast.operators import filters, joins, reshape, rollup, windows
 from shelfcast.plans import tables
 from shelfcast.queries import common
 from shelfcast.queries.common import REGISTRY
+from shelfcast.session import shuffle_partitions
 from shelfcast.sources import retail
 
 
@@ -122,10 +123,17 @@ def plan_of(df):
 def test_spine_windows_reuse_the_partitioning_by_series(mart, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(windows.add_shifted_stats(tables.price_features(common.spine(mart))))
+        stats = windows.add_shifted_stats(common.spine(mart))
+        plans = plan_of(stats), plan_of(tables.price_features(stats))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("SortMergeJoin") == 1
+    for plan, sorts in zip(plans, (2, 3)):
+        assert plan.count("Exchange hashpartitioning") == 2 and plan.count("SortMergeJoin") == 1
+        assert plan.count("- Sort [") == sorts
+
+
+def test_shuffles_are_sized_by_input():
+    assert shuffle_partitions(10**9) == 200 and shuffle_partitions(10**14) == 745_059
 
 
 def test_date_filter_reaches_the_scan(mart):
