@@ -29,6 +29,15 @@ def assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(ready)
 
 
+def fill_from_training(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Missing features as the training mean, so that every horizon row gets a prediction.
+
+    Short lags reach into the horizon and are missing on its later days.
+    """
+    means = train.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
+    return df.fillna({c: m for c, m in means.items() if m is not None})
+
+
 def predict(model: Model, df: DataFrame, columns: Sequence[str], name: str = "pred") -> DataFrame:
     """Predictions beside the keys, negatives clipped to 0."""
     scored = model.transform(assemble(df, columns))

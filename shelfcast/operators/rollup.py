@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.columns import LABEL
@@ -66,6 +66,16 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def date_coverage(df: DataFrame) -> DataFrame:
-    """First and last date and row count."""
-    return df.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count(F.lit(1)).alias("n_rows"))
+def date_coverage(df: DataFrame, parts: Mapping[str, Column]) -> DataFrame:
+    """First and last date and row count of each part of a table, in one pass."""
+    date = F.col("date")
+    rows = [
+        F.struct(
+            F.lit(name).alias("table_name"),
+            F.min(F.when(inside, date)).alias("first_date"),
+            F.max(F.when(inside, date)).alias("last_date"),
+            F.count(F.when(inside, date)).alias("n_rows"),
+        )
+        for name, inside in parts.items()
+    ]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))

@@ -47,9 +47,10 @@ def _label_tables(mart: Mart, season: bool = False) -> tuple[DataFrame, DataFram
         extra = [c for c in spine.columns if c.startswith(("lag_", "rmean_")) and c != "lag_7"]
         table = tables.label_table(spine, days, encode.encode_items(mart.series), mart.small_days, extra)
     table = table.withColumnRenamed("store_id", "store_code").join(mart.series.select("id", "store_id"), "id")
-    table = written(table, "model-table")
+    table = written(table, "model-table", by=["store_id"])
     columns = learners.feature_columns(table)
-    return filters.train_rows(table, retail.CUTOFF), filters.eval_rows(table, retail.CUTOFF), columns
+    train, future = filters.train_rows(table, retail.CUTOFF), filters.eval_rows(table, retail.CUTOFF)
+    return train, learners.fill_from_training(future, train, columns), columns
 
 
 @query
@@ -103,7 +104,7 @@ def gbm_global_forecast(mart: Mart) -> DataFrame:
 @query
 def gbm_per_store_forecast(mart: Mart) -> DataFrame:
     train, future, columns = _label_tables(mart)
-    forecast = learners.forecast_per_store(filters.complete_rows(train), future, columns, trees=5)
+    forecast = learners.forecast_per_store(filters.complete_rows(train), future, columns, trees=3)
     return windows.horizon_index(forecast)
 
 

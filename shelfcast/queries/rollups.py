@@ -71,18 +71,9 @@ def distinct_keys(mart: Mart) -> DataFrame:
 
 @query
 def data_range_report(mart: Mart) -> DataFrame:
-    spine = common.spine(mart)
-    parts = {
-        "spine": spine,
-        "train": filters.train_rows(spine, retail.CUTOFF),
-        "future": filters.from_date(spine, retail.CUTOFF),
-        "cells": mart.cells,
-    }
-    reports = [rollup.date_coverage(df).withColumn("table_name", F.lit(name)) for name, df in parts.items()]
-    out = reports[0]
-    for report in reports[1:]:
-        out = out.unionByName(report)
-    return out
+    every, known = F.lit(True), F.col("date") < F.lit(retail.CUTOFF)
+    spine = rollup.date_coverage(common.spine(mart), {"spine": every, "train": known, "future": ~known})
+    return spine.unionByName(rollup.date_coverage(mart.cells, {"cells": every}))
 
 
 # -- metrics ----------------------------------------------------------------

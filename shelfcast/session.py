@@ -6,6 +6,7 @@ import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,10 +85,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back: lineage ends here."""
+def written(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: lineage ends here.
+
+    With ``by`` there is a folder per value, so a reader of one value opens only its files.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators import learners
+from shelfcast.queries import REGISTRY
 
 START = dt.date(2000, 1, 1)
 
@@ -58,3 +59,20 @@ def test_importances(table):
     columns = ["code", "weekday", "weekend"]
     rows = learners.importances(learners.fit_forest(table, columns, trees=5, depth=4), columns, table).collect()
     assert {r.feature for r in rows} == set(columns) and sum(r.importance for r in rows) == pytest.approx(1.0)
+
+
+def test_missing_short_lags_still_get_a_prediction(table):
+    cutoff = F.lit(START + dt.timedelta(days=172))
+    lagged = table.withColumn("rmean_7_7", F.col("Value") * 1.0)
+    train = lagged.filter(F.col("date") < cutoff)
+    horizon = lagged.filter(F.col("date") >= cutoff).drop("Value").withColumn("rmean_7_7", F.lit(None).cast("double"))
+    columns = ["code", "weekday", "rmean_7_7"]
+    filled = learners.fill_from_training(horizon, train, columns)
+    out = learners.forecast_per_store(train, filled, columns, trees=3)
+    assert out.count() == 112 and out.filter("pred IS NULL").count() == 0
+
+
+def test_label_table_model_covers_the_horizon(spark, sf_dir):
+    out = REGISTRY["glm_poisson_forecast"](spark, sf_dir).persist()
+    assert {r["count"] for r in out.groupBy("id").count().collect()} == {28}
+    assert out.filter("pred IS NULL OR pred < 0").count() == 0
