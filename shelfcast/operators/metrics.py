@@ -55,7 +55,10 @@ def submission_check(submission: DataFrame, template: DataFrame) -> DataFrame:
     """One row: do the columns match, and how many ids are missing, extra or repeated."""
     ids = submission.select("id")
     wanted = template.select("id")
-    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+
+    def count(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias(name))
+
     parts = [
         count(wanted.join(ids, "id", "left_anti"), "missing_ids"),
         count(ids.join(wanted, "id", "left_anti"), "extra_ids"),

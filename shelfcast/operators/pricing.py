@@ -49,7 +49,10 @@ def _deviation(price: str) -> Column:
 def add_promo_hike(df: DataFrame, price: str = "sell_price", bound: float = PROMO_BOUND) -> DataFrame:
     """Flags a price 2 % or more below (promo) or above (hike) its rolling mean."""
     off = _deviation(price)
-    flag = lambda hit: F.when(off.isNull(), None).when(hit, 1).otherwise(0)
+
+    def flag(hit: Column) -> Column:
+        return F.when(off.isNull(), None).when(hit, 1).otherwise(0)
+
     return df.withColumn("promo", flag(off <= -bound)).withColumn("hike", flag(off >= bound))
 
 

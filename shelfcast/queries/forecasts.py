@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators import blend, filters, joins, reshape
+from shelfcast.operators import blend, filters
 from shelfcast.queries import common
 from shelfcast.queries.common import query, rounded
 from shelfcast.sources import retail

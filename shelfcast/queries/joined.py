@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.columns import LABEL
 from shelfcast.functions.text import series_key
-from shelfcast.operators import encode, filters, joins, reshape, rollup
+from shelfcast.operators import encode, filters, joins, rollup
 from shelfcast.plans import tables
 from shelfcast.queries import common
 from shelfcast.queries.common import query, rounded

@@ -9,7 +9,7 @@ from shelfcast.columns import LABEL
 from shelfcast.operators import encode, filters, learners, rollup, windows
 from shelfcast.plans import tables
 from shelfcast.queries import common
-from shelfcast.queries.common import query, rounded
+from shelfcast.queries.common import query
 from shelfcast.session import written
 from shelfcast.sources import retail
 from shelfcast.sources.retail import Mart

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.columns import LABEL
-from shelfcast.operators import blend, filters, joins, metrics, reshape, rollup
+from shelfcast.operators import blend, joins, metrics, rollup
 from shelfcast.queries import common
 from shelfcast.queries.common import query, rounded
 from shelfcast.sources import retail

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from shelfcast.columns import LABEL
 from shelfcast.functions import dates, text, values
-from shelfcast.operators import encode, filters, reshape, windows
+from shelfcast.operators import encode, reshape, windows
 from shelfcast.plans import tables
 from shelfcast.queries import common
-from shelfcast.queries.common import query, rounded
+from shelfcast.queries.common import query
 from shelfcast.sources import retail
 from shelfcast.sources.retail import Mart
 

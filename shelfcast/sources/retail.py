@@ -166,27 +166,25 @@ class Mart:
         part = self._read("part").select(
             F.col("p_partkey").alias("l_partkey"), F.concat_ws("_", F.col("p_brand"), line).alias("item_id")
         )
-        region = self._read("region").join(
-            self._read("nation"), F.col("r_regionkey") == F.col("n_regionkey")
-        ).select("n_nationkey", F.col("r_name").alias("store_id"))
-        store = (
-            self._read("supplier")
-            .join(small_side(region, 1000), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(F.col("s_suppkey").alias("l_suppkey"), "store_id")
-        )
+        # Suppliers are joined as scanned, so that Spark decides by their size; the
+        # 25 nations follow.
+        supplier = self._read("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+        store = self._read("region").join(self._read("nation"), F.col("r_regionkey") == F.col("n_regionkey"))
+        store = store.select(F.col("n_nationkey").alias("s_nationkey"), F.col("r_name").alias("store_id"))
         lines = self._read("lineitem").select(
             "l_partkey",
             "l_suppkey",
             F.to_date("l_shipdate").alias("date"),
             F.col("l_quantity").cast("bigint").alias("qty"),
-            F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+            F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
         )
         # The rest of the hierarchy follows from item and store, so it stays out of the keys.
         brand = F.regexp_extract("item_id", "#([0-9]+)_", 1).cast("int")
         state = F.when(F.col("store_id") == "AMERICA", "AM").when(F.col("store_id") == "ASIA", "AS").otherwise("EM")
         return (
             lines.join(part, "l_partkey")
-            .join(store, "l_suppkey")
+            .join(supplier, "l_suppkey")
+            .join(small_side(store, 1000), "s_nationkey")
             .groupBy("item_id", "store_id", "date")
             .agg(F.sum("qty").alias("qty"), F.sum("cents").alias("cents"))
             .select(
