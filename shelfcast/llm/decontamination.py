@@ -110,5 +110,5 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap no benchmark item, with their columns."""
-    bad = overlaps(docs, benchmark).select(F.col("doc_key").alias("_bad")).distinct()
-    return docs.join(bad, identity(docs["doc_id"], docs["text"]) == F.col("_bad"), "left_anti")
+    bad = overlaps(docs, benchmark).select("doc_key").distinct()
+    return docs.join(bad, identity(docs["doc_id"], docs["text"]) == bad["doc_key"], "left_anti")

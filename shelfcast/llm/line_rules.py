@@ -162,14 +162,12 @@ def quality_filter(docs: DataFrame, host: str = "source", limits: Limits = PRODU
     """
     report = judged(written(measure(docs, host), "line-rules"), limits)
     verdicts = report.filter("kept").select("host_key", "text_key", "lost_lines").dropDuplicates(["host_key", "text_key"])
-    verdicts = verdicts.select(
-        F.col("host_key").alias("_host"), F.col("text_key").alias("_text"), F.col("lost_lines").alias("_lost")
-    )
-    mine = (identity(F.col(host)) == F.col("_host")) & (F.xxhash64(whole(F.col("text"))) == F.col("_text"))
-    stays = lambda line: ~F.coalesce(F.array_contains("_lost", line_key(line)), F.lit(False))
-    shorter = F.when(F.col("_lost").isNull(), F.col("text")).otherwise(F.array_join(F.filter(_lines(F.col("text")), stays), "\n"))
-    joined = docs.join(verdicts, mine).withColumn("text", shorter)
-    if "n_chars" in docs.columns:
-        n = F.when(F.col("_lost").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
-        joined = joined.withColumn("n_chars", n)
-    return joined.select(*docs.columns)
+    mine = (identity(docs[host]) == verdicts["host_key"]) & (F.xxhash64(whole(docs["text"])) == verdicts["text_key"])
+    stays = lambda line: ~F.coalesce(F.array_contains(verdicts["lost_lines"], line_key(line)), F.lit(False))
+    same = verdicts["lost_lines"].isNull()
+    text = F.when(same, docs["text"]).otherwise(F.array_join(F.filter(_lines(docs["text"]), stays), "\n"))
+    columns = {c: docs[c] for c in docs.columns} | {"text": text}
+    if "n_chars" in columns:
+        length = F.length(text).cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(same, docs["n_chars"]).otherwise(length)
+    return docs.join(verdicts, mine).select(*[column.alias(name) for name, column in columns.items()])

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontamination, line_rules, mixing, reply_trees, simhash, substring, suffix_tree, token_counts, token_output
+from shelfcast.llm import (
+    decontamination, licences, line_rules, mixing, reply_trees, simhash, substring, suffix_tree, token_counts, token_output,
+)
 from shelfcast.session import scratch_path
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -91,3 +93,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of every document under a unigram base and the suffix tree."""
     return suffix_tree.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of every document, with its paragraphs of that family."""
+    found = licences.find_licences(table(spark, sf_dir, "documents"))
+    return found.groupBy("doc_id", "family").agg(
+        F.count("*").alias("n_paragraphs"),
+        F.min("paragraph").cast("bigint").alias("first_paragraph"),
+        F.max("probability").alias("probability"),
+        F.max("similarity").alias("similarity"),
+    )

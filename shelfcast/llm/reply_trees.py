@@ -37,7 +37,6 @@ from shelfcast.session import written
 CONTROLS = ["<|im_start|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 TRAINED = "assistant"
-MAX_ROUNDS = 40
 
 _CONTROL = re.compile("|".join(map(re.escape, CONTROLS)))
 _ESCAPED = re.compile(r"\\([\\.n])")
@@ -90,8 +89,9 @@ def _seen(messages: DataFrame) -> list[DataFrame]:
     ids = messages.select("tree", F.col("node").alias("up"), F.lit(True).alias("known"))
     first = messages.select("tree", "node", F.col("parent_id").alias("up"), "score").join(ids, ["tree", "up"], "left")
     up = F.when(F.col("known"), F.col("up"))
-    rounds = [written(first.select("tree", "node", up.alias("up"), F.col("score").alias("total"), F.lit(1).alias("depth")), "tree-round")]
-    for _ in range(MAX_ROUNDS):
+    rounds = [written(first.select("tree", "node", up.alias("up"), F.col("score").alias("total"), F.lit(1).cast("bigint").alias("depth")), "tree-round")]
+    # No path is longer than there are messages.
+    for _ in range(messages.count().bit_length() + 1):
         now = rounds[-1]
         if now.filter(F.col("up").isNotNull()).isEmpty():
             return rounds
