@@ -22,8 +22,8 @@ SCALE = 20
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 MASK = np.uint64((1 << SCALE) - 1)
-SEGMENT = 128
-MAX_LANES = 1024
+SEGMENT = 256
+MAX_LANES = 2048
 MAGIC = b"RNS1"
 HEADER = struct.Struct("<4sIIIIQII")  # magic, lanes, steps, segments, symbol bytes, symbols, words' crc, symbols' crc
 

@@ -23,27 +23,40 @@ least.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.rans import Coder, Table
 from shelfcast.session import scratch_path
 
-BLOCK_TOKENS = 1 << 18
-WORDS_KEPT = 400_000
-BATCH_BYTES = 1 << 20
+BLOCK_TOKENS = 1 << 20
+WORDS_KEPT = 1_000_000
+BATCH_BYTES = 16 << 20
+MARK = "\x01"
+TAIL = ".,!?;:|#*$%&+-=()[]{}/@_~^`\""
+TOGETHER = 256
 ROWS = "part int, row bigint, doc_id bigint, n int, ids binary"
 BLOCKS = "part int, first_row bigint, n_docs int, n_tokens bigint, doc_ids binary, doc_known binary, lengths binary, payload binary"
 
 
+def _pieces_of(word: str) -> int:
+    """How many pieces a simple word is split into; 0 for other words."""
+    letters = word.rstrip(TAIL)
+    if not letters.isalpha() or not (letters.isascii() or max(letters) <= "ÿ"):
+        return 0
+    return 1 if len(letters) == len(word) else 2
+
+
 class WordTokenizer:
-    """Ids of UTF-8 texts from a tokenizer file, word by word where that is the same."""
+    """Ids of texts from a tokenizer file, word by word where that is the same."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,44 +64,122 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = self._drops_blanks()
-        self.kept: dict[bytes, bytes] = {}
+        mark = self._ids([MARK])[0]
+        # Words are encoded many at a time, told apart by a word that is one id of its own,
+        self.mark = int(mark[0]) if self.by_word and len(mark) == 1 else None
+        # or, if they are simple, by the ids that end a word.
+        self.simple, self.ends = self._for_simple_words() if self.by_word else (None, None)
+        self._forget()
+
+    def _for_simple_words(self) -> tuple:
+        """The tokenizer without its normalizer, and which ids end a word; nothing if that is no use.
+
+        Simple words are Latin-1 letters, with ASCII punctuation behind them or not. In lower
+        case a normalizer should leave them as they are, and a splitter make one piece of the
+        letters and one of the rest; both are tried out on all of these characters.
+        """
+        from tokenizers import Tokenizer
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+        spec = json.loads(self.tokenizer.to_str())
+        suffix = spec["model"].get("end_of_word_suffix") if spec["model"]["type"] == "BPE" else None
+        if not suffix:
+            return None, None
+        simple = Tokenizer.from_str(json.dumps(spec | {"normalizer": None}))
+        ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        letters = [chr(c) for c in range(0x100) if chr(c).isalpha()]
+        probes = [f"{x}{y}a{x}" for x in letters for y in "eZ"] + [f"a{x}a{t}{t}" for x in "bÉ" for t in TAIL] + ["ab" + TAIL]
+        for word in probes:
+            ids = np.array(simple.encode(word.lower(), add_special_tokens=False).ids, np.uint32)
+            if not np.array_equal(ids, self._ids([word])[0]) or ends[ids].sum() != _pieces_of(word):
+                return None, None
+        return simple, ends
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [np.array(x.ids, np.uint32) for x in found]
 
     def _drops_blanks(self) -> bool:
         """True if ASCII blanks give no ids and end every token."""
-        words = ["ab", "'s", "1", "A.b", "é́", "--", "<|x|>"]
+        words = ["ab", "'s", "1", "A.b", "é\u0301", "--", "<|x|>", MARK]
         for gap in " \t\n\x0b\x0c\r":
-            parts = self._ids(words)
+            parts = np.concatenate(self._ids(words))
             whole = self._ids([gap.join(words), f"{gap}{gap}".join(words), gap])
-            if whole[:2] != [b"".join(parts)] * 2 or whole[2]:
+            if len(whole[2]) or not all(np.array_equal(x, parts) for x in whole[:2]):
                 return False
         return True
 
-    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """Ids of each text, little-endian unsigned 32 bits."""
+    def _encode_simple(self, words: list[str], pieces: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of simple words one after another, and how many each has."""
+        lines = [" ".join(words[k : k + TOGETHER]).lower() for k in range(0, len(words), TOGETHER)]
+        found = [np.array(x.ids, np.uint32) for x in self.simple.encode_batch_fast(lines, add_special_tokens=False)]
+        last = [np.flatnonzero(self.ends[ids]) for ids in found]
+        want = [np.cumsum(pieces[k : k + TOGETHER]) for k in range(0, len(words), TOGETHER)]
+        if any(len(have) != n[-1] for have, n in zip(last, want)):
+            raise ValueError("a word was split in an unknown way")
+        size = [np.diff(have[n - 1], prepend=-1) for have, n in zip(last, want)]
+        return np.concatenate([*found, np.zeros(0, np.uint32)]), np.concatenate([*size, np.zeros(0, np.int64)])
+
+    def _encode_marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for any words, told apart by the mark where they do not hold it."""
+        plain = [] if self.mark is None else [w for w in words if MARK not in w]
+        lines = [f" {MARK} ".join(plain[k : k + TOGETHER]) + f" {MARK}" for k in range(0, len(plain), TOGETHER)]
+        ids = np.concatenate([*self._ids(lines), np.zeros(0, np.uint32)])
+        ends = np.flatnonzero(ids == self.mark) if plain else np.zeros(0, np.int64)
+        if len(plain) < len(words) or len(ends) != len(plain):  # one by one
+            alone = self._ids(words)
+            return np.concatenate([*alone, np.zeros(0, np.uint32)]), np.array([len(x) for x in alone], np.int64)
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
+    def _learn(self, new: pa.Array) -> None:
+        """Add the ids of words not known yet."""
+        words = new.to_pylist()
+        pieces = np.array([_pieces_of(w) if self.simple is not None else 0 for w in words])
+        held = np.array([MARK in w for w in words])
+        start, size, ids = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [self.ids]
+        for some in (pieces > 0, (pieces == 0) & ~held, held):
+            at = np.flatnonzero(some)
+            if len(at):
+                mine = [words[k] for k in at]
+                found, size[at] = self._encode_simple(mine, pieces[at].tolist()) if pieces[at[0]] else self._encode_marked(mine)
+                start[at] = sum(map(len, ids)) + np.cumsum(size[at]) - size[at]
+                ids.append(found)
+        self.words = pa.concat_arrays([self.words, new])
+        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
+        self.ids = np.concatenate(ids)
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where each distinct word is kept; words not met before are added."""
+        place = pc.index_in(words, value_set=self.words)
+        new = words.filter(place.is_null())
+        if len(self.words) + len(new) > WORDS_KEPT:
+            self._forget()
+            place, new = pc.index_in(words, value_set=self.words), words
+        kept = len(self.words)
+        if len(new):
+            self._learn(new)
+        place = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = kept + np.arange(len(new))
+        return place
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after another, and how many each text has."""
         if not self.by_word:
-            for text in texts:
-                yield np.frombuffer(self._ids([text.decode()])[0], "<u4")
-            return
-        start = 0
-        while start < len(texts):
-            stop, size = start, 0
-            while stop < len(texts) and (stop == start or size + len(texts[stop]) <= BATCH_BYTES):
-                size += len(texts[stop])
-                stop += 1
-            split = [text.split() for text in texts[start:stop]]
-            new = list(set().union(*split) - self.kept.keys())
-            if len(self.kept) + len(new) > WORDS_KEPT:
-                self.kept = {}
-                new = list(set().union(*split))
-            self.kept.update(zip(new, self._ids([w.decode() for w in new])))
-            get = self.kept.__getitem__
-            for tokens in split:
-                yield np.frombuffer(b"".join(map(get, tokens)), "<u4")
-            start = stop
+            found = self._ids(texts.to_pylist())
+            return np.concatenate([*found, np.zeros(0, np.uint32)]), np.array([len(x) for x in found], np.int64)
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        place = self._places(words.dictionary)
+        each = place[words.indices.to_numpy()]
+        size = self.size[each]
+        ends = np.cumsum(size)
+        ids = self.ids[np.repeat(self.start[each] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        per_text = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])
+        return ids, np.diff(np.concatenate([[0], ends])[per_text])
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -101,30 +192,42 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts have about ``BATCH_BYTES`` together, one row at least."""
+    sizes = pc.binary_length(batch.column("body")).to_numpy(zero_copy_only=False)
+    number = np.cumsum(sizes) // BATCH_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for low, high in zip(edges, edges[1:]):
+        if high > low:
+            yield batch.slice(low, high - low)
+
+
 def _binary(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(part, row, doc_id, n, ids) of all documents in ascending id order."""
-    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body.alias("body"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "body")
     rows = rows.select(F.spark_partition_id().alias("part"), "doc_id", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokenizer(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
         row = 0
         for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                some = batch.slice(low, 1000)
-                ids = [x.tobytes() + end for x in encoder.encode(some.column("body").to_pylist())]
-                numbers = np.arange(row, row + len(ids))
-                row += len(ids)
-                n = pa.array([len(x) // 4 for x in ids], pa.int32())
+            for some in _pieces(batch):
+                ids, n = encoder.encode(some.column("body"))
+                ends = np.cumsum(n)
+                ids = np.insert(ids, ends, end_id)  # after each document
+                offsets = np.concatenate([[0], 4 * (ends + np.arange(1, len(ends) + 1))])
+                raw = pa.py_buffer(ids.astype("<u4").tobytes())
+                bodies = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), raw])
+                numbers = pa.array(np.arange(row, row + len(n)))
+                row += len(n)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("part"), pa.array(numbers), some.column("doc_id"), n, _binary(ids)],
+                    [some.column("part"), numbers, some.column("doc_id"), pa.array((n + 1).astype(np.int32)), bodies],
                     names=["part", "row", "doc_id", "n", "ids"],
                 )
 

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from fixtures import documents, empty, lower, prose, rows, words
@@ -233,7 +234,20 @@ def test_tokenizers_that_keep_blanks_get_whole_texts():
     encoder = token_output.WordTokenizer(BYTE_FILE)
     assert not encoder.by_word
     text = "two  words\n and <|endoftext|>more"
-    assert list(next(encoder.encode([text.encode()]))) == Tokenizer.from_file(BYTE_FILE).encode(text, add_special_tokens=False).ids
+    ids, n = encoder.encode(pa.array([text, ""]))
+    assert list(ids) == Tokenizer.from_file(BYTE_FILE).encode(text, add_special_tokens=False).ids and list(n) == [len(ids), 0]
+
+
+def test_words_are_encoded_as_in_their_text(monkeypatch):
+    monkeypatch.setattr(token_output, "WORDS_KEPT", 60)
+    encoder = token_output.WordTokenizer(WORD_FILE)
+    tokenizer = Tokenizer.from_file(WORD_FILE)
+    assert encoder.by_word and encoder.mark is not None and encoder.simple is not None
+    odd = ["über Straße, ÀÉÎ!! ªº µm ÿ.", "<|ENDOFTEXT|> <|endoftext|>... a_b __ |", "a \x01 b", "\x01", "x\x01y <|endoftext|>z", " lead", "trail ", "", "É\u0301 \u00a0ß\u2003İ don't", "THE!! the.", "\x1c\x85"]
+    for texts in (odd, [prose(k, 40) for k in range(30)], odd[::-1]):
+        ids, n = encoder.encode(pa.array(texts))
+        expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert list(n) == list(map(len, expected)) and list(ids) == [i for x in expected for i in x]
 
 
 # -- chat formatting ----------------------------------------------------------------------
