@@ -80,7 +80,7 @@ class PieceCounter:
             split = [self.pieces(text) for text in texts[start:stop]]
             heads = self._counts([x[0] for x in split])
             tails = [x[1:] for x in split]
-            new = list(set().union(*tails) - self.kept.keys())
+            new = [piece for piece in set().union(*tails) if piece not in self.kept]
             if len(self.kept) + len(new) > PIECES_KEPT:
                 self.kept = {}
                 new = list(set().union(*tails))
