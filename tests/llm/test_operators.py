@@ -333,7 +333,7 @@ def test_tree_prefers_text_like_its_own_and_sums_to_one(spark):
     for w in [*names, None]:
         seq = np.append(before, np.uint64(names.get(w, 12345)))
         n = np.array([counts["w0"], counts["w1"], counts.get(w, 0)])
-        total += suffix_tree._smoothed(tree, suffix_tree._ids(tree.frequent, seq), end, tree.root(n))[-1]
+        total += suffix_tree._smoothed(tree, suffix_tree._ids(tree.frequent, seq), np.arange(3), end, tree.root(n))[-1]
     assert abs(total - 1) < 1e-9
 
 
