@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 
 IDS = "item_id, dept_id, cat_id, store_id, state_id"
-CUTOFF = "DATE '2001-10-08'"
-START = "DATE '1995-01-02'"
+# Days that follow from the order lines.
+CUTOFF = "(SELECT cutoff FROM span)"
+START = "(SELECT first_day FROM span)"
+LAST = "(SELECT last_day FROM span)"
 TRAIN_START = "DATE '1996-01-01'"
 EVENTS = [
     "event_Christmas", "event_Cultural", "event_Easter", "event_Fathersday", "event_Halloween",
@@ -64,6 +66,9 @@ def number_code(column: str) -> str:
 
 
 CTES: dict[str, str] = {
+    "span": """
+        SELECT min(CAST(l_shipdate AS DATE)) AS first_day, max(CAST(l_shipdate AS DATE)) AS last_day,
+               CAST(max(CAST(l_shipdate AS DATE)) - 27 AS DATE) AS cutoff FROM lineitem""",
     "cal": f"""
         SELECT date, n, 'd_' || CAST(n AS VARCHAR) AS d, CAST((n - 1) // 7 + 1 AS INTEGER) AS wm_yr_wk,
             weekday, wday, month, year,
@@ -92,7 +97,7 @@ CTES: dict[str, str] = {
         FROM (SELECT date, CAST(date - {START} AS INTEGER) + 1 AS n, dayname(date) AS weekday,
                      CAST(dayofweek(date) + 1 AS INTEGER) AS wday, CAST(month(date) AS INTEGER) AS month,
                      CAST(year(date) AS INTEGER) AS year, day(date) AS dom
-              FROM (SELECT CAST(unnest(generate_series({START}, DATE '2001-11-04', INTERVAL 1 DAY)) AS DATE) AS date))""",
+              FROM (SELECT CAST(unnest(generate_series({START}, {LAST}, INTERVAL 1 DAY)) AS DATE) AS date))""",
     "cells": """
         SELECT item_id || '_' || store_id || '_evaluation' AS id, * FROM (
             SELECT item_id, dept_id, cat_id, store_id, state_id, CAST(l_shipdate AS DATE) AS date,
@@ -237,16 +242,15 @@ CTES["aggregate_days"] = f"""
 
 PRICE_MEAN = """
     SELECT id, date, {columns}, sell_price,
-           CASE WHEN rn >= k THEN (s - coalesce(before, 0)) / 100.0::DOUBLE / k ELSE sell_price END AS roll_mean
-    FROM (SELECT x.*, y.s AS before
-          FROM (SELECT *, CAST(ceil(n_rows * 0.12::DOUBLE) AS BIGINT) AS k FROM {rows}) x
-          LEFT JOIN {rows} y ON x.id = y.id AND y.rn = x.rn - x.k)"""
+           CASE WHEN rn >= k THEN sum(cents) OVER (PARTITION BY id ORDER BY date ROWS BETWEEN k - 1 PRECEDING AND CURRENT ROW)
+                                  / 100.0::DOUBLE / k ELSE sell_price END AS roll_mean
+    FROM (SELECT *, CAST(ceil(n_rows * 0.12::DOUBLE) AS BIGINT) AS k FROM {rows})"""
 
 
 def price_rows(source: str) -> str:
-    """Row number, running cents and row count of each series."""
+    """Row number, cents and row count of each series."""
     return f"""
-        SELECT *, row_number() OVER w AS rn, CAST(sum(CAST(round(sell_price * 100) AS BIGINT)) OVER w AS BIGINT) AS s,
+        SELECT *, row_number() OVER w AS rn, CAST(round(sell_price * 100) AS BIGINT) AS cents,
                count(*) OVER (PARTITION BY id) AS n_rows
         FROM {source} WINDOW w AS (PARTITION BY id ORDER BY date)"""
 
@@ -285,7 +289,7 @@ CTES["horizon_stats"] = f"""
     WHERE {" AND ".join(f"Roll_{s}_{n} IS NOT NULL" for s in STATS for n in WINDOWS)}"""
 
 # Read more than once by most checks that use them.
-KEPT = {"cells", "spine", "dense", "price_rows", "price_rows_train", "cal", "wide"}
+KEPT = {"span", "cells", "spine", "dense", "price_rows", "price_rows_train", "cal", "wide"}
 _WORD = re.compile(r"[a-z_]+")
 
 

@@ -42,26 +42,9 @@ CHECKS["scan_side_calendars"] = with_total(
 )
 CHECKS["scan_target_ids"] = """
     SELECT id FROM series UNION ALL SELECT replace(id, '_evaluation', '_validation') FROM series"""
-CHECKS["scan_prefix_union"] = f'SELECT id, {IDS}, d, "Value" FROM sales'
 CHECKS["scan_prediction_files"] = f"SELECT id, h, {r6('a', 'pred')} FROM fc"
 CHECKS["sink_submission_csv"] = wide("b")
 CHECKS["write_submission"] = wide("a", BOTH_IDS)
-CHECKS["sink_by_store"] = 'SELECT "Value", id, date, sell_price, store_id FROM train'
-CHECKS["sink_by_store_dept"] = 'SELECT "Value", id, d, store_id, dept_id FROM sales'
-MEAN_SD = [c for c in STAT_COLS if "_Lm_" not in c]
-NULL_STATS = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in MEAN_SD)
-SOME_STATS = " AND ".join(f"{c} IS NOT NULL" for c in MEAN_SD)
-CHECKS["sink_train_eval_meta"] = f"""
-    SELECT 'train' AS part, CAST(NULL AS VARCHAR) AS date, id, s.store_id, s."Value", s.sell_price, promo, hike,
-           {", ".join(r6(c, c) for c in MEAN_SD)}
-    FROM shifted s JOIN (SELECT id, date, {FLAGS} FROM price_mean_train) USING (id, date) WHERE {SOME_STATS}
-    UNION ALL
-    SELECT 'eval', NULL, id, s.store_id, NULL, s.sell_price, promo, hike, {", ".join(r6(c, c) for c in MEAN_SD)}
-    FROM spine s JOIN (SELECT id, date, {FLAGS} FROM price_mean) USING (id, date) JOIN horizon_stats USING (id, date)
-    WHERE date >= {CUTOFF}
-    UNION ALL
-    SELECT 'eval_meta', CAST(date AS VARCHAR), id, s.store_id, NULL, NULL, NULL, NULL, {NULL_STATS}
-    FROM spine s JOIN horizon_stats USING (id, date) WHERE date >= {CUTOFF}"""
 CHECKS["sink_table_csv"] = 'SELECT store_id, item_id, wm_yr_wk, sell_price, date, d, v AS "Value" FROM spine'
 
 # -- reshapes -----------------------------------------------------------------
@@ -100,7 +83,7 @@ CHECKS["drop_incomplete_rows"] = f"""
     SELECT * FROM (SELECT id, date, v AS "Value", {LAGS} FROM spine)
     WHERE "Value" IS NOT NULL AND lag_7 IS NOT NULL AND lag_28 IS NOT NULL AND lag_60 IS NOT NULL"""
 CHECKS["filter_id_match"] = f"SELECT id, key, {r6('a', 'value')} FROM fc"
-CHECKS["filter_date_range"] = f"SELECT id, date, sell_price FROM spine WHERE date IN ({CUTOFF}, DATE '2001-10-09')"
+CHECKS["filter_date_range"] = f"SELECT id, date, sell_price FROM spine WHERE date IN ({CUTOFF}, {CUTOFF} + 1)"
 
 # -- joins --------------------------------------------------------------------
 CHECKS["join_price_week_to_day"] = """
@@ -127,11 +110,10 @@ CHECKS["join_calendar_features"] = with_total("SELECT * FROM label_days")
 CHECKS["assemble_label_encoded_table"] = f"""
     SELECT s.id, s.date, s.v AS "Value", s.sell_price, label_days.* EXCLUDE (date, d, wm_yr_wk), {", ".join("i." + c for c in IDS.split(", "))}
     FROM spine s JOIN label_days ON s.date = label_days.date JOIN item_codes i ON i.id = s.id"""
-DIGITS = " || ".join(f"CAST({c} AS VARCHAR)" for c in SERIES_FLAGS)
 COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in [*STAT_COLS, "promo"])
 CHECKS["assemble_series_model_table"] = f"""
     SELECT s.date, s.state_id, id, s."Value", s.sell_price, promo, hike, {", ".join(r6(c, c) for c in STAT_COLS)},
-           item_id, dept_id, cat_id, store_id, {DIGITS} AS flags, snap, "MLB", "MLB_Lead_1", "MLB_Lead_2"
+           item_id, dept_id, cat_id, store_id, sd.* EXCLUDE (date), snap, "MLB", "MLB_Lead_1", "MLB_Lead_2"
     FROM shifted s JOIN (SELECT id, date, {FLAGS} FROM price_mean_train) USING (id, date)
     JOIN series_days sd ON sd.date = s.date
     JOIN state_days st ON st.date = s.date AND st.state_id = s.state_id
@@ -160,6 +142,15 @@ CHECKS["assemble_future_table"] = f"""
     JOIN series_days sd ON sd.date = s.date
     JOIN state_days st ON st.date = s.date AND st.state_id = s.state_id
     WHERE s.date >= {CUTOFF}"""
+# The exports: the two tables without their date, and the horizon's keys.
+TRAIN_EXPORT = f'SELECT * EXCLUDE (date) FROM ({CHECKS["assemble_series_model_table"]})'
+EVAL_EXPORT = f'SELECT * EXCLUDE (date) FROM ({CHECKS["assemble_future_table"]})'
+CHECKS["scan_prefix_union"] = f"SELECT * EXCLUDE (store_id) FROM ({TRAIN_EXPORT})"
+CHECKS["sink_by_store"] = CHECKS["sink_by_store_dept"] = TRAIN_EXPORT
+CHECKS["sink_train_eval_meta"] = f"""
+    SELECT 'train' AS part, * FROM ({TRAIN_EXPORT}) UNION ALL BY NAME SELECT 'eval' AS part, * FROM ({EVAL_EXPORT})
+    UNION ALL BY NAME
+    SELECT 'eval_meta' AS part, CAST(date AS VARCHAR) AS date, id, store_id FROM ({CHECKS["assemble_future_table"]})"""
 CHECKS["assemble_future_table_sliced"] = (
     CHECKS["assemble_future_table"]
     .replace("JOIN series_days sd", "JOIN series_days_future sd")
@@ -346,7 +337,7 @@ CHECKS["scale_forecast"] = f"""
     FROM fc CROSS JOIN (SELECT unnest([0.97::DOUBLE, 0.99::DOUBLE, 1.01::DOUBLE, 1.03::DOUBLE]) AS mult)"""
 CHECKS["multiplier_grid_search"] = SEARCH
 CHECKS["multiplier_grid_search_items"] = f"""
-    SELECT mult, round(sqrt(avg((a - fcast * mult) * (a - fcast * mult))), 3) AS rmse
+    SELECT mult, {r6("sqrt(avg((a - fcast * mult) * (a - fcast * mult)))", "rmse")}
     FROM fc JOIN topfc USING (key) CROSS JOIN {GRID} GROUP BY mult"""
 CHECKS["topdown_disaggregate"] = f"""
     SELECT id, h, {r6("b / nullif(sum(b) OVER (PARTITION BY store_id, dept_id, h), 0) * group_pred", "pred")}

@@ -48,16 +48,18 @@ def multiplier_search(bottom: DataFrame, top: DataFrame, grid: Sequence[float] =
 def multiplier_search_by_item(bottom: DataFrame, top: DataFrame, grid: Sequence[float] = GRID) -> DataFrame:
     """The search with every item's value against the scaled top forecast.
 
-    The squared error is a parabola in the multiplier, so three sums per horizon day,
-    taken in one pass over the items, give it for the whole grid.
+    Per horizon day the mean squared error is the items' variance and the squared distance
+    of their mean from the scaled forecast, so one pass over the items gives it for the
+    whole grid, and nothing cancels.
     """
     each = F.explode(F.array(*[F.lit(float(m)) for m in grid])).alias("mult")
-    y, f, m = F.col("value"), F.col("fcast"), F.col("mult")
-    sums = bottom.groupBy("key").agg(F.count(y).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
-    squared = F.col("syy") - 2 * m * f * F.col("sy") + m * m * f * f * F.col("n")
+    y = F.col("value")
+    sums = bottom.groupBy("key").agg(F.count(y).alias("n"), F.avg(y).alias("mean"), F.var_pop(y).alias("spread"))
+    away = F.col("mean") - F.col("mult") * F.col("fcast")
+    squared = F.col("n") * (F.col("spread") + away * away)
     return (
         sums.join(top, "key")
-        .select("n", "sy", "syy", "fcast", each)
+        .select("n", "mean", "spread", "fcast", each)
         .groupBy("mult")
         .agg(F.sqrt(F.sum(squared) / F.sum("n")).alias("rmse"))
     )

@@ -44,3 +44,8 @@ def ids_containing(df: DataFrame, text: str, column: str = "id") -> DataFrame:
 def first_days(calendar: DataFrame, start: dt.date, cutoff: dt.date) -> DataFrame:
     """Day labels used as training columns: the days from ``start`` up to the cutoff."""
     return train_rows(from_date(calendar, start), cutoff).select("d", "date")
+
+
+def with_part(df: DataFrame, cutoff: dt.date, name: str = "part") -> DataFrame:
+    """Training and horizon rows in one frame, told apart by ``name``."""
+    return df.withColumn(name, F.when(F.col("date") < F.lit(cutoff), "train").otherwise("eval"))

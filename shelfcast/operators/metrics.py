@@ -53,19 +53,12 @@ def add_minmax(
 
 def submission_check(submission: DataFrame, template: DataFrame) -> DataFrame:
     """One row: do the columns match, and how many ids are missing, extra or repeated."""
-    ids = submission.select("id")
-    wanted = template.select("id")
-
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name))
-
-    parts = [
-        count(wanted.join(ids, "id", "left_anti"), "missing_ids"),
-        count(ids.join(wanted, "id", "left_anti"), "extra_ids"),
-        count(ids.groupBy("id").count().filter("count > 1"), "repeated_ids"),
-    ]
-    same = submission.columns == template.columns
-    out = parts[0].select(F.lit(same).alias("columns_match"), "missing_ids", F.lit(0).alias("_k"))
-    for part in parts[1:]:
-        out = out.join(part.withColumn("_k", F.lit(0)), "_k")
-    return out.drop("_k")
+    have = submission.groupBy("id").agg(F.count(F.lit(1)).alias("_have"))
+    want = template.groupBy("id").agg(F.count(F.lit(1)).alias("_want"))
+    count = lambda hit, rows, name: F.coalesce(F.sum(F.when(hit, rows)), F.lit(0)).cast("bigint").alias(name)
+    return have.join(want, "id", "full").agg(
+        F.lit(submission.columns == template.columns).alias("columns_match"),
+        count(F.col("_have").isNull(), F.col("_want"), "missing_ids"),
+        count(F.col("_want").isNull(), F.col("_have"), "extra_ids"),
+        count(F.col("_have") > 1, F.lit(1), "repeated_ids"),
+    )

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.columns import HORIZON, LABEL
 from shelfcast.functions.dates import shift_to_horizon
@@ -33,23 +34,42 @@ def _complete(stat: Column, value: Column, frame: WindowSpec, n: int) -> Column:
     return F.when(F.count(value).over(frame) == n, stat.over(frame))
 
 
+def with_running(df: DataFrame, value: str = LABEL, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """Running count, sum, sum of squares and sum of value times row position.
+
+    A statistic of the last n rows is a difference of two of these, whatever n is, where a
+    sliding frame adds up n values for each row. Whole numbers stay exact; other values
+    lose what a running double sum loses.
+    """
+    w = series_window(keys)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
+    v = F.col(value).cast("bigint" if whole else "double")
+    total = lambda c, name: F.coalesce(F.sum(c).over(run), F.lit(0)).alias(name)
+    return df.withColumn("_row", F.row_number().over(w)).select(
+        "*", F.count(value).over(run).alias("_n"), total(v, "_s"), total(v * v, "_q"), total(v * F.col("_row"), "_x")
+    )
+
+
+RUNNING = ["_row", "_n", "_s", "_q", "_x"]
+
+
+def _last(total: str, n: int, shift: int, keys: Sequence[str]) -> Column:
+    """Sum over the ``n`` rows that end ``shift`` rows back, from its running total."""
+    w = series_window(keys)
+    return F.lag(total, shift, 0).over(w) - F.lag(total, shift + n, 0).over(w)
+
+
 def lag_columns(value: str = LABEL, lags: Sequence[int] = LAGS) -> list[Column]:
     w = series_window()
     return [F.lag(value, k).over(w).alias(f"lag_{k}") for k in lags]
 
 
-def rolling_mean_of_lag_columns(
-    value: str = LABEL, lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS
-) -> list[Column]:
+def rolling_mean_of_lag_columns(lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS) -> list[Column]:
     """``rmean_{lag}_{window}``: mean of the lagged values, missing ones ignored, from
-    the ``window``-th row of the series on."""
-    w = series_window()
-    row = F.row_number().over(w)
-    return [
-        F.when(row >= n, F.avg(value).over(w.rowsBetween(-(k + n - 1), -k))).alias(f"rmean_{k}_{n}")
-        for k in lags
-        for n in windows
-    ]
+    the ``window``-th row of the series on. Needs the running totals."""
+    mean = lambda k, n: F.try_divide(_last("_s", n, k, ("id",)), _last("_n", n, k, ("id",)))
+    return [F.when(F.col("_row") >= n, mean(k, n)).alias(f"rmean_{k}_{n}") for k in lags for n in windows]
 
 
 def add_lags(df: DataFrame, value: str = LABEL, lags: Sequence[int] = LAGS) -> DataFrame:
@@ -59,36 +79,32 @@ def add_lags(df: DataFrame, value: str = LABEL, lags: Sequence[int] = LAGS) -> D
 def add_rolling_mean_of_lags(
     df: DataFrame, value: str = LABEL, lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS
 ) -> DataFrame:
-    return df.select("*", *rolling_mean_of_lag_columns(value, lags, windows))
+    return with_running(df, value).select("*", *rolling_mean_of_lag_columns(lags, windows)).drop(*RUNNING)
 
 
 def add_lag_features(df: DataFrame, value: str = LABEL) -> DataFrame:
     """Lags and rolling means of lags in one window pass."""
-    return df.select("*", *lag_columns(value), *rolling_mean_of_lag_columns(value))
-
-
-def _frame(w: WindowSpec, n: int, shift: int) -> WindowSpec:
-    return w.rowsBetween(-(shift + n - 1), -shift)
-
-
-def rolling_mean(n: int, shift: int = 0, value: str = LABEL, keys: Sequence[str] = ("id",)) -> Column:
-    frame = _frame(series_window(keys), n, shift)
-    return _complete(F.avg(value), F.col(value), frame, n)
+    return with_running(df, value).select("*", *lag_columns(value), *rolling_mean_of_lag_columns()).drop(*RUNNING)
 
 
-def rolling_sd(n: int, shift: int = 0, value: str = LABEL, keys: Sequence[str] = ("id",)) -> Column:
-    frame = _frame(series_window(keys), n, shift)
-    return _complete(F.stddev_samp(value), F.col(value), frame, n)
+def rolling_mean(n: int, shift: int = 0, keys: Sequence[str] = ("id",)) -> Column:
+    """Mean of ``n`` complete rows. This and the two below need the running totals."""
+    return F.when(_last("_n", n, shift, keys) == n, _last("_s", n, shift, keys) / n)
 
 
-def rolling_slope(n: int, shift: int = 0, value: str = LABEL, keys: Sequence[str] = ("id",), row: str = "_row") -> Column:
-    """Least-squares slope of the value on its row position, which ``row`` must hold."""
-    frame = _frame(series_window(keys), n, shift)
-    return _complete(F.regr_slope(F.col(value).cast("double"), F.col(row).cast("double")), F.col(value), frame, n)
+def rolling_sd(n: int, shift: int = 0, keys: Sequence[str] = ("id",)) -> Column:
+    """Sample standard deviation; sums of whole numbers are compared as such while they fit."""
+    squares, total = _last("_q", n, shift, keys), _last("_s", n, shift, keys)
+    exact = F.try_subtract(F.try_multiply(F.lit(n), squares), F.try_multiply(total, total)).cast("double")
+    spread = F.coalesce(exact, n * squares.cast("double") - total.cast("double") * total)
+    return F.when(_last("_n", n, shift, keys) == n, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n * (n - 1))))
 
 
-def with_row(df: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
-    return df.withColumn("_row", F.row_number().over(series_window(keys)))
+def rolling_slope(n: int, shift: int = 0, keys: Sequence[str] = ("id",)) -> Column:
+    """Least-squares slope of the value on its row position."""
+    middle = 2 * (F.col("_row") - shift) - (n - 1)
+    tilt = 2 * _last("_x", n, shift, keys) - middle * _last("_s", n, shift, keys)
+    return F.when(_last("_n", n, shift, keys) == n, 6 * tilt / (n * (n * n - 1)))
 
 
 def add_rolling_stats(df: DataFrame, windows: Sequence[int] = ROLL_WINDOWS) -> DataFrame:
@@ -96,7 +112,7 @@ def add_rolling_stats(df: DataFrame, windows: Sequence[int] = ROLL_WINDOWS) -> D
     columns = [rolling_mean(n).alias(f"Roll_Mean_{n}") for n in windows]
     columns += [rolling_sd(n).alias(f"Roll_Sd_{n}") for n in windows]
     columns += [rolling_slope(n).alias(f"Roll_Lm_{n}") for n in windows]
-    return with_row(df).select("*", *columns).drop("_row")
+    return with_running(df).select("*", *columns).drop(*RUNNING)
 
 
 def add_shifted_stats(
@@ -114,7 +130,7 @@ def add_shifted_stats(
             rolling_slope(n, shift if consistent else SLOPE_SHIFT.get(n, shift)).alias(f"Roll_Lm_{n}_Shift")
             for n in windows
         ]
-    return with_row(df).select("*", *columns).drop("_row")
+    return with_running(df).select("*", *columns).drop(*RUNNING)
 
 
 def _centred(n: int, shift: int, keys: Sequence[str], value: str) -> list[Column]:
@@ -156,7 +172,7 @@ def tail_per_series(df: DataFrame, n: int = 60, keys: Sequence[str] = ("id",)) -
 
 def stats_for_horizon(history: DataFrame, n: int = 60, windows: Sequence[int] = ROLL_WINDOWS, slopes: bool = True) -> DataFrame:
     """Rolling statistics of the last ``n`` known rows, moved 28 days onto the horizon."""
-    tail = with_row(tail_per_series(history.select("id", "date", LABEL), n))
+    tail = with_running(tail_per_series(history.select("id", "date", LABEL), n))
     columns = [rolling_mean(k).alias(f"Roll_Mean_{k}_Shift") for k in windows]
     columns += [rolling_sd(k).alias(f"Roll_Sd_{k}_Shift") for k in windows]
     if slopes:

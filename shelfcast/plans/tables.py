@@ -76,23 +76,23 @@ def label_day_table(calendar: DataFrame, sports: Sports) -> DataFrame:
     return joins.join_days(days, sports_with_leads(sports.on_anchor(calendar)), how="left", small=sports.small)
 
 
-def date_flag_columns(first_year: int, last_year: int) -> list:
+def date_flag_columns(years: Sequence[int]) -> list:
     date = F.col("date")
     return [
         *reshape.one_hot("weekday", WEEKDAYS, "weekday"),
         *reshape.one_hot(week_of_month(date), range(1, 7), "weekmonth"),
         *reshape.one_hot(F.month(date), range(1, 13), "month"),
-        *reshape.one_hot(F.year(date), range(first_year, last_year + 1), "year"),
+        *reshape.one_hot(F.year(date), years, "year"),
     ]
 
 
 def calendar_wide(
-    calendar: DataFrame, events: Sequence[str], first_year: int, last_year: int, small: bool | None = None
+    calendar: DataFrame, events: Sequence[str], years: Sequence[int], small: bool | None = None
 ) -> DataFrame:
     """Calendar without its event columns, with one-hot dates and events joined by date."""
     kept = reshape.columns_like(calendar, exclude=["event"])
     kept = [c for c in kept if c not in ("wday", "year")]
-    days = calendar.select(*kept, *date_flag_columns(first_year, last_year))
+    days = calendar.select(*kept, *date_flag_columns(years))
     flags = reshape.one_hot_events(calendar, events)
     return joins.join_days(days, flags, how="left", small=small).fillna(0, subset=list(events))
 

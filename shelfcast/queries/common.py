@@ -17,7 +17,6 @@ from shelfcast.sources import retail
 from shelfcast.sources.retail import Mart, open_mart
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-FIRST_YEAR, LAST_YEAR = retail.START.year, retail.END.year
 # Training start of the queries that cut early history.
 TRAIN_START = dt.date(1996, 1, 1)
 
@@ -38,21 +37,24 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def spine(mart: Mart) -> DataFrame:
-    return joins.make_spine(mart.prices, mart.calendar, mart.sales, mart.small_days)
+    """Every priced day of every series with its sales, written once per mart."""
+    return mart.table("spine", lambda: joins.make_spine(mart.prices, mart.calendar, mart.sales, mart.small_days))
+
+
+def priced_days(mart: Mart) -> DataFrame:
+    """(id, date, sell_price), partitioned by series; reads no sales."""
+    key = series_key("item_id", "store_id", suffix="evaluation").alias("id")
+    prices = mart.prices.select(key, "wm_yr_wk", "sell_price").repartition("id")
+    return joins.price_weeks_to_days(prices, mart.calendar, mart.small_days).select("id", "date", "sell_price")
 
 
 def train_spine(mart: Mart) -> DataFrame:
-    return filters.train_rows(spine(mart), retail.CUTOFF)
+    return filters.train_rows(spine(mart), mart.cutoff)
 
 
 def recent_spine(mart: Mart) -> DataFrame:
-    """The horizon and the 56 days before it.
-
-    The mart's prices are carried forward, so a series has a row on every day after its
-    first and 56 days are the 56 rows the forecasts look back on.
-    """
-    since = retail.CUTOFF - dt.timedelta(days=56)
-    return joins.make_spine(mart.prices, mart.calendar, mart.sales, mart.small_days, since)
+    """The horizon and at least the 56 rows of each series before it."""
+    return filters.from_date(spine(mart), mart.recent_since)
 
 
 def facts(mart: Mart) -> DataFrame:
@@ -81,25 +83,25 @@ def sports(mart: Mart) -> tables.Sports:
 
 def wide_calendar(mart: Mart) -> DataFrame:
     return tables.calendar_wide(
-        mart.calendar, retail.EVENT_VOCABULARY, FIRST_YEAR, LAST_YEAR, small=mart.small_days
+        mart.calendar, retail.EVENT_VOCABULARY, mart.span.years, small=mart.small_days
     )
 
 
-def series_days(mart: Mart, since: dt.date = retail.START) -> DataFrame:
+def series_days(mart: Mart, since: dt.date | None = None) -> DataFrame:
     football = joins.football_days(mart.calendar)
-    wide = filters.from_date(wide_calendar(mart), since)
+    wide = filters.from_date(wide_calendar(mart), since or mart.span.first)
     return tables.series_day_table(wide, football, sports(mart), retail.RACES)
 
 
-def state_days(mart: Mart, since: dt.date = retail.START) -> DataFrame:
-    calendar = filters.from_date(mart.calendar, since)
+def state_days(mart: Mart, since: dt.date | None = None) -> DataFrame:
+    calendar = filters.from_date(mart.calendar, since or mart.span.first)
     return tables.state_day_table(calendar, mart.side("mlb_games"), small=mart.small_days)
 
 
 def season_label_table(mart: Mart) -> DataFrame:
     """Label-encoded table of a season-filtered calendar: its leads go row by row, so the
     last day of a season looks ahead to the first day of the next."""
-    calendar = filters.season_or_year(mart.calendar, [3, 4, 5, 6], LAST_YEAR)
+    calendar = filters.season_or_year(mart.calendar, [3, 4, 5, 6], mart.span.last.year)
     prices = joins.prices_in_calendar(mart.prices, calendar)
     rows = joins.make_spine(prices, calendar, mart.sales, mart.small_days)
     days = tables.label_day_table(calendar, sports(mart))
@@ -126,21 +128,21 @@ def aggregate_days_table(mart: Mart) -> DataFrame:
 
 def training_table(mart: Mart, **options) -> DataFrame:
     return tables.series_table(
-        spine(mart), mart.series, series_days_table(mart), state_days_table(mart), retail.CUTOFF,
+        spine(mart), mart.series, series_days_table(mart), state_days_table(mart), mart.cutoff,
         small=mart.small_days, **options,
     )
 
 
 def horizon_table(mart: Mart, **options) -> DataFrame:
     return tables.future_table(
-        spine(mart), mart.series, series_days_table(mart), state_days_table(mart), retail.CUTOFF,
+        spine(mart), mart.series, series_days_table(mart), state_days_table(mart), mart.cutoff,
         small=mart.small_days, **options,
     )
 
 
 def sliced_horizon_table(mart: Mart) -> DataFrame:
     return tables.future_table(
-        spine(mart), mart.series, series_days(mart, retail.CUTOFF), state_days(mart, retail.CUTOFF), retail.CUTOFF,
+        spine(mart), mart.series, series_days(mart, mart.cutoff), state_days(mart, mart.cutoff), mart.cutoff,
         small=mart.small_days, slice_price_lag=True,
     )
 
@@ -151,12 +153,12 @@ def two_forecasts(mart: Mart, source: DataFrame | None = None) -> DataFrame:
     a is the mean of the 28 days that end 28 days earlier, b the sales 28 days earlier.
     """
     rows = (recent_spine(mart) if source is None else source).select("id", "date", LABEL)
-    scored = rows.select(
+    scored = windows.with_running(rows).select(
         "id", "date",
         *[c.alias("a") for c in windows.rolling_mean_of_lag_columns(lags=(28,), windows=(28,))],
         F.lag(LABEL, 28).over(windows.series_window()).cast("double").alias("b"),
     )
-    return windows.horizon_index(filters.from_date(scored, retail.CUTOFF))
+    return windows.horizon_index(filters.from_date(scored, mart.cutoff))
 
 
 def forecast_rows(mart: Mart, name: str = "a", source: DataFrame | None = None) -> DataFrame:

@@ -34,8 +34,8 @@ def union_segments(mart: Mart) -> DataFrame:
 
 @query
 def union_price_history_future(mart: Mart) -> DataFrame:
-    priced = common.spine(mart).select("id", "date", "sell_price")
-    future = filters.from_date(priced, retail.CUTOFF)
+    priced = common.priced_days(mart)
+    future = filters.from_date(priced, mart.cutoff)
     return future.unionByName(priced).distinct()
 
 
@@ -58,7 +58,7 @@ def multiplier_grid_search(mart: Mart) -> DataFrame:
 @query
 def multiplier_grid_search_items(mart: Mart) -> DataFrame:
     search = blend.multiplier_search_by_item(common.forecast_long(mart), common.top_forecast(mart))
-    return search.withColumn("rmse", F.round("rmse", 3))
+    return rounded(search, "rmse")
 
 
 @query

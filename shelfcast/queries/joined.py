@@ -30,17 +30,17 @@ def join_left_demand(mart: Mart) -> DataFrame:
 
 @query
 def semi_join_price_weeks(mart: Mart) -> DataFrame:
-    season = filters.season_or_year(mart.calendar, [3, 4, 5, 6], retail.END.year)
+    season = filters.season_or_year(mart.calendar, [3, 4, 5, 6], mart.span.last.year)
     return joins.prices_in_calendar(mart.prices, season)
 
 
 @query
 def semi_join_series(mart: Mart) -> DataFrame:
     """Horizon prices of the series that sold on the last known day."""
-    last = F.lit(retail.CUTOFF - dt.timedelta(days=1))
+    last = F.lit(mart.cutoff - dt.timedelta(days=1))
     sold = mart.cells.filter(F.col("date") == last)
-    priced = common.spine(mart).select("id", "date", "sell_price")
-    future = filters.from_date(mart.calendar.select("date"), retail.CUTOFF)
+    priced = common.priced_days(mart)
+    future = filters.from_date(mart.calendar.select("date"), mart.cutoff)
     return joins.rows_of(joins.rows_of(priced, future, "date"), sold, "id")
 
 
@@ -86,24 +86,12 @@ def assemble_label_encoded_table(mart: Mart) -> DataFrame:
     return tables.label_table(common.spine(mart), days, encode.encode_items(mart.series), mart.small_days)
 
 
-def packed(days: DataFrame) -> DataFrame:
-    """The 0/1 columns of a day table as one text of digits, missing where one is."""
-    flags = [c for c in days.columns if c != "date"]
-    return days.select("date", F.concat(*[F.col(c).cast("string") for c in flags]).alias("flags"))
-
-
 STAT_COLS = [f"Roll_{s}_{n}_Shift" for s in ("Mean", "Sd", "Lm") for n in (28, 7, 14)]
 
 
 @query
 def assemble_series_model_table(mart: Mart) -> DataFrame:
-    """The hundred day indicators travel as one packed column."""
-    days = packed(common.series_days_table(mart))
-    table = tables.series_table(
-        common.spine(mart), mart.series, days, common.state_days_table(mart), retail.CUTOFF,
-        start=common.TRAIN_START, small=mart.small_days,
-    )
-    return rounded(table, *STAT_COLS)
+    return rounded(common.training_table(mart, start=common.TRAIN_START), *STAT_COLS)
 
 
 @query

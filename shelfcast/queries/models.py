@@ -11,7 +11,6 @@ from shelfcast.plans import tables
 from shelfcast.queries import common
 from shelfcast.queries.common import query
 from shelfcast.session import written
-from shelfcast.sources import retail
 from shelfcast.sources.retail import Mart
 
 TREES = 10
@@ -22,7 +21,7 @@ def _aggregate(mart: Mart, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     days = common.aggregate_days_table(mart)
     rolled = rollup.sum_by(common.dated_sales(mart), keys)
     train = tables.aggregate_table(rolled, days, keys, mart.small_days)
-    future = tables.aggregate_future(rolled, days, retail.CUTOFF, keys, mart.small_days)
+    future = tables.aggregate_future(rolled, days, mart.cutoff, keys, mart.small_days)
     if keys:
         both = train.withColumn("_future", F.lit(0)).unionByName(
             future.withColumn("_future", F.lit(1)), allowMissingColumns=True
@@ -49,7 +48,7 @@ def _label_tables(mart: Mart, season: bool = False) -> tuple[DataFrame, DataFram
     table = table.withColumnRenamed("store_id", "store_code").join(mart.series.select("id", "store_id"), "id")
     table = written(table, "model-table", by=["store_id"])
     columns = learners.feature_columns(table)
-    train, future = filters.train_rows(table, retail.CUTOFF), filters.eval_rows(table, retail.CUTOFF)
+    train, future = filters.train_rows(table, mart.cutoff), filters.eval_rows(table, mart.cutoff)
     return train, learners.fill_from_training(future, train, columns), columns
 
 

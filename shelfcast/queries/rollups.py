@@ -9,7 +9,6 @@ from shelfcast.columns import LABEL
 from shelfcast.operators import blend, joins, metrics, rollup
 from shelfcast.queries import common
 from shelfcast.queries.common import query, rounded
-from shelfcast.sources import retail
 from shelfcast.sources.retail import Mart
 
 
@@ -71,7 +70,7 @@ def distinct_keys(mart: Mart) -> DataFrame:
 
 @query
 def data_range_report(mart: Mart) -> DataFrame:
-    every, known = F.lit(True), F.col("date") < F.lit(retail.CUTOFF)
+    every, known = F.lit(True), F.col("date") < F.lit(mart.cutoff)
     spine = rollup.date_coverage(common.spine(mart), {"spine": every, "train": known, "future": ~known})
     return spine.unionByName(rollup.date_coverage(mart.cells, {"cells": every}))
 

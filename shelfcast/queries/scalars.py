@@ -11,7 +11,6 @@ from shelfcast.operators import encode, reshape, windows
 from shelfcast.plans import tables
 from shelfcast.queries import common
 from shelfcast.queries.common import query
-from shelfcast.sources import retail
 from shelfcast.sources.retail import Mart
 
 
@@ -98,7 +97,7 @@ def horizon_label_parse(mart: Mart) -> DataFrame:
     return rows.select(
         "*",
         text.horizon_label(F.col("h")).alias("label"),
-        text.day_label(F.col("h") + retail.TRAIN_DAYS).alias("d"),
+        text.day_label(F.col("h") + mart.span.train_days).alias("d"),
     )
 
 

@@ -23,7 +23,7 @@ def _known(mart: Mart) -> DataFrame:
 
 
 def _prices(mart: Mart) -> DataFrame:
-    return common.spine(mart).select("id", "date", "sell_price")
+    return common.priced_days(mart)
 
 
 @query
@@ -39,7 +39,7 @@ def rolling_mean_of_lags(mart: Mart) -> DataFrame:
 
 def _rolling(mart: Mart, stat, name: str) -> DataFrame:
     columns = {f"Roll_{name}_{n}": stat(n) for n in windows.ROLL_WINDOWS}
-    out = windows.with_row(_known(mart)).select("id", "date", *[c.alias(n) for n, c in columns.items()])
+    out = windows.with_running(_known(mart)).select("id", "date", *[c.alias(n) for n, c in columns.items()])
     return rounded(out, *columns)
 
 
@@ -92,14 +92,14 @@ def future_rolling_shift(mart: Mart) -> DataFrame:
 @query
 def future_rolling_centered(mart: Mart) -> DataFrame:
     total = rollup.sum_by(common.dated_sales(mart), [])
-    return rounded(windows.centred_for_horizon(total, retail.CUTOFF), "roll_sd_28", "roll_mean_28")
+    return rounded(windows.centred_for_horizon(total, mart.cutoff), "roll_sd_28", "roll_mean_28")
 
 
 @query
 def future_rolling_centered_grouped(mart: Mart) -> DataFrame:
     keys = ["store_id", "dept_id"]
     groups = rollup.sum_by(common.dated_sales(mart), keys)
-    return rounded(windows.centred_for_horizon(groups, retail.CUTOFF, keys), "roll_sd_28", "roll_mean_28")
+    return rounded(windows.centred_for_horizon(groups, mart.cutoff, keys), "roll_sd_28", "roll_mean_28")
 
 
 @query
@@ -143,7 +143,7 @@ def price_lag_diff_change(mart: Mart) -> DataFrame:
 
 @query
 def horizon_index(mart: Mart) -> DataFrame:
-    return windows.horizon_index(filters.from_date(_prices(mart), retail.CUTOFF).select("id", "date"))
+    return windows.horizon_index(filters.from_date(_prices(mart), mart.cutoff).select("id", "date"))
 
 
 @query

@@ -30,7 +30,7 @@ def select_pattern(mart: Mart) -> DataFrame:
 @query
 def label_first_projection(mart: Mart) -> DataFrame:
     table = common.facts(mart).select(*SERIES_COLS, "date", "d", "wm_yr_wk", "sell_price", LABEL)
-    known = filters.train_rows(table, retail.CUTOFF)
+    known = filters.train_rows(table, mart.cutoff)
     return reshape.label_first(known.select("id", "date", *reshape.columns_between(table, "item_id", "state_id"), "sell_price", LABEL))
 
 
@@ -79,7 +79,7 @@ def onehot_races_pivot(mart: Mart) -> DataFrame:
 
 @query
 def onehot_date_parts(mart: Mart) -> DataFrame:
-    flags = tables.date_flag_columns(common.FIRST_YEAR, common.LAST_YEAR)
+    flags = tables.date_flag_columns(mart.span.years)
     return common.with_total(mart, mart.calendar.select("date", *flags))
 
 
@@ -90,13 +90,13 @@ def calendar_wide_features(mart: Mart) -> DataFrame:
 
 @query
 def first_n_days(mart: Mart) -> DataFrame:
-    days = filters.first_days(mart.calendar, common.TRAIN_START, retail.CUTOFF)
+    days = filters.first_days(mart.calendar, common.TRAIN_START, mart.cutoff)
     return common.with_total(mart, days)
 
 
 @query
 def state_specific_flags(mart: Mart) -> DataFrame:
-    rows = common.facts(mart).select("id", "date", "state_id")
+    rows = common.priced_days(mart).select("id", "date").join(mart.series.select("id", "state_id"), "id")
     flags = common.state_days(mart).select("date", "state_id", "snap", "MLB")
     return joins.join_days(rows, flags, ["date", "state_id"], small=mart.small_days)
 
@@ -114,15 +114,13 @@ def filter_date_from(mart: Mart) -> DataFrame:
 
 @query
 def filter_season_or_year(mart: Mart) -> DataFrame:
-    return filters.season_or_year(mart.cells, [3, 4, 5, 6], retail.END.year).select("id", "date", "qty")
+    return filters.season_or_year(mart.cells, [3, 4, 5, 6], mart.span.last.year).select("id", "date", "qty")
 
 
 @query
 def train_eval_split(mart: Mart) -> DataFrame:
     rows = common.spine(mart).select("id", "date", "sell_price", LABEL)
-    train = filters.train_rows(rows, retail.CUTOFF).withColumn("part", F.lit("train"))
-    future = filters.eval_rows(rows, retail.CUTOFF).withColumn("part", F.lit("eval"))
-    return train.unionByName(future, allowMissingColumns=True)
+    return filters.with_part(rows, mart.cutoff)
 
 
 @query
@@ -140,5 +138,5 @@ def filter_id_match(mart: Mart) -> DataFrame:
 @query
 def filter_date_range(mart: Mart) -> DataFrame:
     """The two days that pad the leads of the training tail."""
-    second = retail.CUTOFF + dt.timedelta(days=1)
-    return filters.between_dates(common.spine(mart), retail.CUTOFF, second).select("id", "date", "sell_price")
+    second = mart.cutoff + dt.timedelta(days=1)
+    return filters.between_dates(common.priced_days(mart), mart.cutoff, second)

@@ -7,7 +7,9 @@ joined and rolled up a single time however many queries follow.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,20 +17,56 @@ from pyspark.sql import functions as F
 from shelfcast.columns import DAY_LIMIT, FORECAST_COLS, HORIZON, SERIES_COLS
 from shelfcast.functions.text import day_label, series_key, to_validation
 from shelfcast.operators.reshape import pivot_days
-from shelfcast.session import apply_plan_settings, small_side, written
-
-# First and last shipping day, first day of the 28-day horizon.
-START = dt.date(1995, 1, 2)
-END = dt.date(2001, 11, 4)
-CUTOFF = dt.date(2001, 10, 8)
-DAYS = (END - START).days + 1
-TRAIN_DAYS = DAYS - HORIZON
+from shelfcast.session import apply_plan_settings, scratch_path, small_side, written
 
 # One item is one brand's line of this many consecutive part keys.
 PARTS_PER_LINE = 10_000
+# Price weeks that hold the horizon and the 56 days before it, wherever weeks begin and end.
+RECENT_WEEKS = (HORIZON + 56) // 7 + 2
+
+
+@dataclass(frozen=True)
+class Span:
+    """The days that the order lines cover. The last ``HORIZON`` days are forecast."""
+
+    first: dt.date
+    last: dt.date
+
+    @property
+    def cutoff(self) -> dt.date:
+        """First day of the horizon."""
+        return self.last - dt.timedelta(days=HORIZON - 1)
+
+    @property
+    def days(self) -> int:
+        return (self.last - self.first).days + 1
+
+    @property
+    def train_days(self) -> int:
+        return self.days - HORIZON
+
+    @property
+    def weeks(self) -> int:
+        return -(-self.days // 7)
+
+    @property
+    def years(self) -> range:
+        return range(self.first.year, self.last.year + 1)
+
+    def number(self, date: Column) -> Column:
+        """1 for the first day."""
+        return F.datediff(date, F.lit(self.first)) + 1
+
+
+def easter(year: int) -> dt.date:
+    """Easter Sunday: the Sunday after the first church full moon from 21 March on."""
+    golden, century = year % 19, year // 100
+    moon = (19 * golden + century - century // 4 - (8 * century + 13) // 25 + 15) % 30
+    moon -= moon == 29 or (moon == 28 and golden > 10)
+    full = dt.date(year, 3, 21) + dt.timedelta(days=moon)
+    return full + dt.timedelta(days=7 - (full.weekday() + 1) % 7)
+
 
-# Movable feast of the calendar's years.
-EASTER = ["1995-04-16", "1996-04-07", "1997-03-30", "1998-04-12", "1999-04-04", "2000-04-23", "2001-04-15"]
 # Event names and types by month and day.
 FIXED_EVENTS = [
     (1, 1, "NewYear", "National"),
@@ -49,12 +87,12 @@ RACES = ["Belmont", "Derby", "Preakness"]
 STATES = ["AM", "AS", "EM"]
 
 
-def _events(date: Column) -> tuple[Column, Column]:
+def _events(date: Column, years: Iterable[int]) -> tuple[Column, Column]:
     """Name and type of the day's main event."""
     month, day, weekday = F.month(date), F.dayofmonth(date), F.dayofweek(date)
     rules = [((month == m) & (day == d), name, kind) for m, d, name, kind in FIXED_EVENTS]
     rules += [
-        (date.cast("string").isin(EASTER), "Easter", "Religious"),
+        (date.isin([easter(y) for y in years]), "Easter", "Religious"),
         ((month == 6) & (weekday == 1) & day.between(15, 21), "Father's day", "Cultural"),
         ((month == 11) & (weekday == 5) & day.between(22, 28), "Thanksgiving", "National"),
     ]
@@ -65,17 +103,17 @@ def _events(date: Column) -> tuple[Column, Column]:
     return name, kind
 
 
-def _day_rows(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.explode(F.sequence(F.lit(START), F.lit(END))).alias("date"))
+def _day_rows(spark: SparkSession, span: Span) -> DataFrame:
+    return spark.range(1).select(F.explode(F.sequence(F.lit(span.first), F.lit(span.last))).alias("date"))
 
 
-def make_calendar(spark: SparkSession) -> DataFrame:
+def make_calendar(spark: SparkSession, span: Span) -> DataFrame:
     date = F.col("date")
-    number = F.datediff(date, F.lit(START)) + 1
+    number = span.number(date)
     day = F.dayofmonth(date)
     fair = (F.month(date) == 4) & (day == 23)
-    name, kind = _events(date)
-    return _day_rows(spark).select(
+    name, kind = _events(date, span.years)
+    return _day_rows(spark, span).select(
         "date",
         day_label(number).alias("d"),
         (F.floor((number - 1) / 7) + 1).cast("int").alias("wm_yr_wk"),
@@ -93,10 +131,10 @@ def make_calendar(spark: SparkSession) -> DataFrame:
     )
 
 
-def make_side_calendars(spark: SparkSession) -> dict[str, DataFrame]:
+def make_side_calendars(spark: SparkSession, span: Span) -> dict[str, DataFrame]:
     """The four sports schedules; two of them carry their dates as US text."""
     date = F.col("date")
-    days = _day_rows(spark)
+    days = _day_rows(spark, span)
     month, day, weekday = F.month(date), F.dayofmonth(date), F.dayofweek(date)
     us_text = F.date_format(date, "M/d/yyyy").alias("date")
     race = (
@@ -104,7 +142,7 @@ def make_side_calendars(spark: SparkSession) -> dict[str, DataFrame]:
         .when((month == 5) & (weekday == 7) & day.between(15, 21), "Preakness")
         .when((month == 6) & (weekday == 7) & day.between(8, 14), "Belmont")
     )
-    number = F.datediff(date, F.lit(START)) + 1
+    number = span.number(date)
     return {
         "nba_finals": days.filter((month == 6) & day.between(8, 19) & (day % 2 == 0)).select(
             "date", F.lit(1).alias("NBA_Finals")
@@ -129,8 +167,7 @@ class Mart:
         self.spark = spark
         self.sf_dir = sf_dir
         self._tables: dict[str, DataFrame] = {}
-        # Every day table has one row per day from START to END (times the states).
-        self.small_days = DAYS * len(STATES) <= DAY_LIMIT
+        self._folders: dict[str, str] = {}
 
     def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """The table ``make`` gives, written on first use."""
@@ -138,16 +175,58 @@ class Mart:
             self._tables[name] = written(make(), name)
         return self._tables[name]
 
+    def folder(self, name: str, write: Callable[[str], None]) -> str:
+        """The folder that ``write`` fills, filled on first use."""
+        if name not in self._folders:
+            path = scratch_path(self.spark, name)
+            write(path)
+            self._folders[name] = path
+        return self._folders[name]
+
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    # -- days ---------------------------------------------------------------
+    @cached_property
+    def span(self) -> Span:
+        """First and last shipping day: one pass over one column."""
+        day = F.to_date("l_shipdate")
+        first, last = self._read("lineitem").agg(F.min(day), F.max(day)).first()
+        if first is None:
+            raise ValueError("no order line has a shipping day")
+        return Span(first, last)
+
+    @property
+    def cutoff(self) -> dt.date:
+        return self.span.cutoff
+
+    @property
+    def small_days(self) -> bool:
+        """Every day table has one row per day (times the states)."""
+        return self.span.days * len(STATES) <= DAY_LIMIT
+
+    @cached_property
+    def recent_since(self) -> dt.date:
+        """A day from which on every series of the horizon has its last 84 days.
+
+        Prices are weekly, so a series' last ``RECENT_WEEKS`` price weeks hold that many
+        days, wherever weeks are missing; the earliest of these weeks over all series that
+        reach the horizon is taken.
+        """
+        newest = F.row_number().over(Window.partitionBy("store_id", "item_id").orderBy(F.col("wm_yr_wk").desc()))
+        last_week = F.lit((self.span.train_days // 7) + 1)
+        tails = self.prices.select("store_id", "item_id", "wm_yr_wk", newest.alias("n")).filter(F.col("n") <= RECENT_WEEKS)
+        tails = tails.groupBy("store_id", "item_id").agg(F.min("wm_yr_wk").alias("first"), F.max("wm_yr_wk").alias("last"))
+        week = tails.filter(F.col("last") >= last_week).agg(F.min("first")).first()[0]
+        return self.span.first + dt.timedelta(days=7 * ((week or 1) - 1))
+
     # -- dimensions ---------------------------------------------------------
     @property
     def calendar(self) -> DataFrame:
-        return self.table("calendar", lambda: make_calendar(self.spark).coalesce(1))
+        return self.table("calendar", lambda: make_calendar(self.spark, self.span).coalesce(1))
 
     def side(self, name: str) -> DataFrame:
-        return make_side_calendars(self.spark)[name]
+        return make_side_calendars(self.spark, self.span)[name]
 
     @property
     def series(self) -> DataFrame:
@@ -206,14 +285,15 @@ class Mart:
         return self.table("cells", self._make_cells)
 
     def _make_prices(self) -> DataFrame:
-        week = (F.floor(F.datediff("date", F.lit(START)) / 7) + 1).cast("int")
+        week = (F.floor((self.span.number(F.col("date")) - 1) / 7) + 1).cast("int")
+        # A week whose quantities cancel out has no price of its own.
         sold = (
             self.cells.withColumn("wm_yr_wk", week)
             .groupBy("id", "wm_yr_wk")
-            .agg(F.expr("sum(cents) div sum(qty)").alias("cents"))
+            .agg(F.expr("case when sum(qty) <> 0 then sum(cents) div sum(qty) end").alias("cents"))
         )
         weeks = self.series.select(
-            "id", "store_id", "item_id", F.explode(F.sequence(F.lit(1), F.lit(DAYS // 7))).alias("wm_yr_wk")
+            "id", "store_id", "item_id", F.explode(F.sequence(F.lit(1), F.lit(self.span.weeks))).alias("wm_yr_wk")
         )
         carried = F.last("cents", ignorenulls=True).over(
             Window.partitionBy("id").orderBy("wm_yr_wk").rowsBetween(Window.unboundedPreceding, 0)
@@ -238,7 +318,7 @@ class Mart:
             days.join(sold, ["id", "date"], "left")
             .select(
                 *SERIES_COLS,
-                day_label(F.datediff("date", F.lit(START)) + 1).alias("d"),
+                day_label(self.span.number(F.col("date"))).alias("d"),
                 F.coalesce("qty", F.lit(0).cast("bigint")).alias("Value"),
             )
         )
@@ -246,17 +326,17 @@ class Mart:
     @property
     def sales(self) -> DataFrame:
         """Training sales, long: every series × day before the cutoff, 0 where nothing sold."""
-        return self.table("sales", lambda: self._dense(START, CUTOFF - dt.timedelta(days=1)))
+        return self.table("sales", lambda: self._dense(self.span.first, self.cutoff - dt.timedelta(days=1)))
 
     @property
     def actuals(self) -> DataFrame:
         """What sold on the horizon days; for scoring only."""
-        return self.table("actuals", lambda: self._dense(CUTOFF, END))
+        return self.table("actuals", lambda: self._dense(self.cutoff, self.span.last))
 
     @property
     def sales_wide(self) -> DataFrame:
         """Training sales, one column per day."""
-        days = [f"d_{n}" for n in range(1, TRAIN_DAYS + 1)]
+        days = [f"d_{n}" for n in range(1, self.span.train_days + 1)]
         return self.table("sales_wide", lambda: pivot_days(self.sales, SERIES_COLS, days))
 
 

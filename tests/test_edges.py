@@ -29,14 +29,14 @@ def test_short_series_has_no_window(spark):
 
 def test_missing_values_ignored_by_lag_means_but_not_by_complete_windows(spark):
     df = series(spark, [1, None, 3, 4, None, 6, 7, 8])
-    lagged = df.select("*", *windows.rolling_mean_of_lag_columns(lags=(1,), windows=(3,)))
+    lagged = windows.add_rolling_mean_of_lags(df, lags=(1,), windows=(3,))
     assert by_date(lagged, "rmean_1_3") == [None, None, 1.0, 2.0, 3.5, 3.5, 5.0, 6.5]
-    full = df.select("*", windows.rolling_mean(3).alias("m"))
+    full = windows.with_running(df).select("*", windows.rolling_mean(3).alias("m"))
     assert by_date(full, "m") == [None, None, None, None, None, None, None, 7.0]
 
 
 def test_window_of_only_missing_values_is_missing(spark):
-    out = series(spark, [None, None, None, 4]).select("*", *windows.rolling_mean_of_lag_columns(lags=(1,), windows=(2,)))
+    out = windows.add_rolling_mean_of_lags(series(spark, [None, None, None, 4]), lags=(1,), windows=(2,))
     assert by_date(out, "rmean_1_2") == [None, None, None, None]
 
 
@@ -51,7 +51,7 @@ def test_flat_series(spark):
 
 
 def test_rolling_slope_and_sd_by_hand(spark):
-    out = windows.with_row(series(spark, [1, 4, 9, 16])).select(
+    out = windows.with_running(series(spark, [1, 4, 9, 16])).select(
         "id", "date", windows.rolling_slope(3).alias("slope"), windows.rolling_sd(3).alias("sd")
     )
     assert by_date(out, "slope")[2:] == pytest.approx([4.0, 6.0])

@@ -13,6 +13,9 @@ from shelfcast.session import shuffle_partitions
 from shelfcast.sources import retail
 
 
+CUTOFF = dt.date(2001, 10, 8)
+
+
 def rows_of(df):
     return sorted(map(str, df.select(*sorted(df.columns)).collect()))
 
@@ -20,10 +23,10 @@ def rows_of(df):
 @pytest.fixture(scope="module")
 def small_spine(spark):
     """Three series over 120 days, the last 28 unknown."""
-    start = retail.CUTOFF - dt.timedelta(days=92)
+    start = CUTOFF - dt.timedelta(days=92)
     days = [start + dt.timedelta(days=i) for i in range(120)]
     rows = [
-        (f"i{s}_S_evaluation", d, 2.0 + (i // 7 * (s + 1)) % 5, None if d >= retail.CUTOFF else (i * (s + 3)) % 11)
+        (f"i{s}_S_evaluation", d, 2.0 + (i // 7 * (s + 1)) % 5, None if d >= CUTOFF else (i * (s + 3)) % 11)
         for s in range(3)
         for i, d in enumerate(days)
     ]
@@ -33,11 +36,56 @@ def small_spine(spark):
 def test_no_order_line_falls_outside_the_calendar(mart, spark, sf_dir):
     sold = mart.cells.agg(F.sum("qty"), F.min("date"), F.max("date")).first()
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").agg(F.sum("l_quantity").cast("bigint")).first()[0]
-    assert sold[0] == lines and sold[1] >= retail.START and sold[2] <= retail.END
+    assert sold[0] == lines and sold[1] == mart.span.first and sold[2] == mart.span.last
+
+
+def test_days_outside_todays_range_lose_nothing(spark, sf_dir, tmp_path):
+    """The calendar grows with the order lines: a day before the first and one after the last."""
+    from shelfcast.sources.retail import Mart
+
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    day = F.to_date("l_shipdate")
+    first, last = lines.agg(F.min(day), F.max(day)).first()
+    kind = lines.schema["l_shipdate"].dataType
+    edge = lambda d: lines.limit(1).withColumn("l_shipdate", F.lit(d).cast(kind))
+    more = lines.unionByName(edge(first - dt.timedelta(days=1))).unionByName(edge(last + dt.timedelta(days=1)))
+    more.write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("part", "supplier", "nation", "region"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    wider = Mart(spark, str(tmp_path))
+    assert wider.span.first == first - dt.timedelta(days=1) and wider.span.last == last + dt.timedelta(days=1)
+    units = lambda df, c: df.agg(F.sum(c).cast("bigint")).first()[0]
+    assert units(wider.sales, "Value") + units(wider.actuals, "Value") == units(more, "l_quantity")
+    # The last, partial week has prices for all of its days.
+    spine = common.spine(wider)
+    assert spine.agg(F.max("date")).first()[0] == wider.span.last
+    assert units(spine, "Value") == units(wider.sales, "Value")
+
+
+def test_recent_history_is_enough_whatever_weeks_are_missing(mart, spark, sf_dir):
+    """One series without a price in a week of the last 56 days: the cut must not show."""
+    from shelfcast.sources.retail import Mart
+
+    some = mart.prices.orderBy("item_id", "store_id").first()
+    week = (mart.span.train_days // 7) - 3
+    here = (F.col("item_id") == some.item_id) & (F.col("store_id") == some.store_id)
+    gapped = Mart(spark, sf_dir)
+    for name in ("cells", "series", "sales", "calendar"):
+        gapped._tables[name] = getattr(mart, name)
+    gapped._tables["prices"] = mart.prices.filter(~(here & F.col("wm_yr_wk").isin(week, week - 1, week - 5))).cache()
+    assert gapped.recent_since < mart.recent_since
+    whole = common.two_forecasts(gapped, common.spine(gapped))
+    assert rows_of(common.two_forecasts(gapped)) == rows_of(whole)
+    assert rows_of(common.two_forecasts(mart)) == rows_of(common.two_forecasts(mart, common.spine(mart)))
+
+
+def test_easter():
+    known = ["1995-04-16", "1996-04-07", "1997-03-30", "1998-04-12", "1999-04-04", "2000-04-23", "2001-04-15", "2038-04-25", "2285-03-22"]
+    assert [str(retail.easter(int(d[:4]))) for d in known] == known
 
 
 def test_horizon_features_do_not_see_horizon_labels(small_spine):
-    known = F.col("date") < F.lit(retail.CUTOFF)
+    known = F.col("date") < F.lit(CUTOFF)
     leaked = small_spine.withColumn("Value", F.when(known, F.col("Value")).otherwise(F.lit(999).cast("bigint")))
 
     def horizon(df):
@@ -45,16 +93,16 @@ def test_horizon_features_do_not_see_horizon_labels(small_spine):
         safe = [c for c in out.columns if c.startswith(("lag_28", "lag_60", "rmean_28", "rmean_60"))]
         out = windows.add_shifted_stats(out, consistent=True)
         safe += [c for c in out.columns if c.endswith("_Shift")]
-        return rows_of(filters.from_date(out, retail.CUTOFF).select("id", "date", *safe))
+        return rows_of(filters.from_date(out, CUTOFF).select("id", "date", *safe))
 
     assert horizon(small_spine) == horizon(leaked)
 
 
 def test_future_statistics_equal_shifted_statistics(small_spine):
-    train = filters.train_rows(small_spine, retail.CUTOFF)
-    served = filters.from_date(windows.stats_for_horizon(train), retail.CUTOFF)
+    train = filters.train_rows(small_spine, CUTOFF)
+    served = filters.from_date(windows.stats_for_horizon(train), CUTOFF)
     trained = windows.add_shifted_stats(small_spine, consistent=True).drop("Value", "sell_price")
-    trained = filters.from_date(trained, retail.CUTOFF)
+    trained = filters.from_date(trained, CUTOFF)
     close = [F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) < 1e-9 for c in served.columns if c.startswith("Roll")]
     both = served.alias("a").join(trained.alias("b"), ["id", "date"])
     assert both.count() == 84 and all(both.filter(~ok).count() == 0 for ok in close)
@@ -100,9 +148,9 @@ def test_top_down_sums_back_to_the_group(mart, spark, sf_dir):
 
 def test_day_tables_have_one_row_per_day(mart):
     for days in (common.wide_calendar(mart), common.series_days(mart), tables.label_day_table(mart.calendar, common.sports(mart))):
-        assert days.count() == days.select("date").distinct().count() == retail.DAYS
+        assert days.count() == days.select("date").distinct().count() == mart.span.days
     states = common.state_days(mart)
-    assert states.count() == retail.DAYS * len(retail.STATES)
+    assert states.count() == mart.span.days * len(retail.STATES)
 
 
 def test_training_and_horizon_tables_share_their_features(mart):
@@ -123,7 +171,8 @@ def plan_of(df):
 def test_spine_windows_reuse_the_partitioning_by_series(mart, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        stats = windows.add_shifted_stats(common.spine(mart))
+        spine = joins.make_spine(mart.prices, mart.calendar, mart.sales, mart.small_days)
+        stats = windows.add_shifted_stats(spine)
         plans = plan_of(stats), plan_of(tables.price_features(stats))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -141,11 +190,20 @@ def test_date_filter_reaches_the_scan(mart):
     assert "GreaterThanOrEqual(date,2001-01-01)" in plan and "cents" not in plan
 
 
-@pytest.mark.parametrize(
-    "name",
-    ["scale_forecast", "multiplier_grid_search", "multiplier_grid_search_items", "assemble_future_table",
-     "assemble_series_model_table", "topdown_disaggregate", "agg_hierarchy_grouping_sets"],
-)
+PRICE_QUERIES = [
+    "semi_join_series", "filter_date_range", "dynamic_window_price_mean", "promo_hike_flags", "price_lag_diff_change",
+    "horizon_index", "union_price_history_future", "state_specific_flags",
+]
+
+
+@pytest.mark.parametrize("name", PRICE_QUERIES)
+def test_price_queries_read_no_sales(name, mart, spark, sf_dir):
+    sales = {f.rsplit("/", 1)[0] for f in mart.sales.inputFiles()}
+    read = {f.rsplit("/", 1)[0] for f in REGISTRY[name](spark, sf_dir).inputFiles()}
+    assert read and not read & sales
+
+
+@pytest.mark.parametrize("name", sorted(n for n in REGISTRY if not n.startswith(("rf_", "gbm_", "glm_", "feature_", "fitted_"))))
 def test_no_cross_joins(name, spark, sf_dir):
     plan = plan_of(REGISTRY[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
