@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,6 +30,7 @@ HEADLINE = [
     "assemble_label_encoded_table", "assemble_series_model_table", "assemble_future_table",
     "assemble_top_level_table", "multiplier_grid_search", "topdown_disaggregate", "ensemble_mean",
     "sink_by_store", "scan_prediction_files", "write_submission", "rf_total_forecast", "glm_tweedie_forecast",
+    "rf_bottom_forecast", "gbm_global_forecast",
 ]
 
 
@@ -42,6 +44,7 @@ def main() -> None:
         **{
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": cpus,
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
@@ -52,7 +55,7 @@ def main() -> None:
     times: dict[str, float] = {}
     begin = time.perf_counter()
     mart = open_mart(spark, sf_dir)
-    for table in (mart.cells, mart.series, mart.prices, mart.sales, mart.actuals, mart.calendar):
+    for table in (mart.cells, mart.series, mart.prices, mart.sales, mart.actuals, mart.calendar, common.spine(mart)):
         table.schema
     times["mart"] = round(time.perf_counter() - begin, 3)
     begin = time.perf_counter()

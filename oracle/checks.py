@@ -346,3 +346,16 @@ CHECKS["topdown_disaggregate"] = f"""
                avg(x) OVER (PARTITION BY store_id, dept_id ORDER BY date ROWS BETWEEN 55 PRECEDING AND 28 PRECEDING) AS group_pred
         FROM (SELECT store_id, dept_id, date, sum(v) AS x FROM spine GROUP BY ALL)) USING (store_id, dept_id, h)"""
 CHECKS["flagship_forecast"] = wide("a", BOTH_IDS)
+
+# -- models: what must hold of every forecast ---------------------------------
+def sound(model: str, ids: str) -> str:
+    return f"""
+    SELECT '{model}' AS model, CAST(n AS BIGINT) AS n_ids, CAST(28 * n AS BIGINT) AS n_rows, true AS even_rows,
+           true AS no_missing, true AS none_negative, true AS beats_mean
+    FROM (SELECT count(*) AS n FROM ({ids}))"""
+
+
+CHECKS["check_rf_total"] = sound("rf_total_forecast", "SELECT DISTINCT 'total' FROM series")
+CHECKS["check_rf_store_dept"] = sound("rf_store_dept_forecast", "SELECT DISTINCT store_id, dept_id FROM series")
+for model in ("rf_bottom", "gbm_global", "glm_poisson", "glm_tweedie"):
+    CHECKS[f"check_{model}"] = sound(f"{model}_forecast", "SELECT id FROM series")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
@@ -16,6 +17,9 @@ from shelfcast.columns import LABEL
 from shelfcast.functions.values import clip_nonnegative
 
 KEYS = ("id", "date", "store_id", "dept_id")
+# Models per store are fitted by the driver's jobs, so their number is bounded.
+STORE_LIMIT = 1000
+FITS_AT_ONCE = 4
 
 
 def feature_columns(df: DataFrame, skip: Sequence[str] = (LABEL, *KEYS)) -> list[str]:
@@ -24,23 +28,30 @@ def feature_columns(df: DataFrame, skip: Sequence[str] = (LABEL, *KEYS)) -> list
 
 
 def assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Feature vector beside the keys; a row missing a feature is skipped."""
+    """Feature vector beside the keys; a training row missing a feature is skipped."""
     ready = df.na.drop(subset=list(columns))
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(ready)
 
 
+def assemble_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Feature vectors of rows that all need a prediction: a missing feature is an error."""
+    return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="error").transform(df)
+
+
 def fill_from_training(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing features as the training mean, so that every horizon row gets a prediction.
 
-    Short lags reach into the horizon and are missing on its later days.
+    Short lags reach into the horizon and are missing on its later days. A learner that
+    splits on missing values would keep them missing; MLlib's do not take any. A column
+    without any training value stays missing, and ``predict`` then fails.
     """
     means = train.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
     return df.fillna({c: m for c, m in means.items() if m is not None})
 
 
 def predict(model: Model, df: DataFrame, columns: Sequence[str], name: str = "pred") -> DataFrame:
-    """Predictions beside the keys, negatives clipped to 0."""
-    scored = model.transform(assemble(df, columns))
+    """Predictions beside the keys, one for every row, negatives clipped to 0."""
+    scored = model.transform(assemble_all(df, columns))
     keys = [k for k in KEYS if k in df.columns]
     return scored.select(*keys, clip_nonnegative(F.col("prediction")).alias(name))
 
@@ -66,6 +77,12 @@ def fit_boosted(
     return boosted.fit(assemble(train.filter(F.col(LABEL).isNotNull()), columns))
 
 
+def best_tree_count(model: Model, held: DataFrame, columns: Sequence[str]) -> int:
+    """How many of a boosted model's trees do best on held-out rows: one scoring for all counts."""
+    errors = model.evaluateEachIteration(assemble(held.filter(F.col(LABEL).isNotNull()), columns), "squared")
+    return min(range(len(errors)), key=errors.__getitem__) + 1
+
+
 def _fit_iterative(glm: GeneralizedLinearRegression, train: DataFrame, columns: Sequence[str]) -> Model:
     """Every iteration reads the rows again, so their vectors are kept for the fit."""
     ready = assemble(train.filter(F.col(LABEL).isNotNull()), columns).select(LABEL, "features")
@@ -99,13 +116,18 @@ def importances(model: Model, columns: Sequence[str], train: DataFrame) -> DataF
 def forecast_per_store(
     train: DataFrame, horizon: DataFrame, columns: Sequence[str], trees: int = 1500, rate: float = 0.075
 ) -> DataFrame:
-    """One boosted model per store, each fitted on the cluster; results united."""
-    stores = sorted(row.store_id for row in train.select("store_id").distinct().collect())
-    parts = []
-    for store in stores:
+    """One boosted model per store, each fitted on the cluster, a few at a time; results united."""
+    named = train.select("store_id").distinct().limit(STORE_LIMIT + 1).collect()
+    if len(named) > STORE_LIMIT:
+        raise ValueError(f"more than {STORE_LIMIT} stores: fit one model with the store as a feature")
+
+    def fit(store: str) -> DataFrame:
         mine = F.col("store_id") == store
         model = fit_boosted(train.filter(mine), columns, trees, rate)
-        parts.append(predict(model, horizon.filter(mine), columns))
+        return predict(model, horizon.filter(mine), columns)
+
+    with ThreadPool(FITS_AT_ONCE) as pool:
+        parts = pool.map(fit, sorted(row.store_id for row in named))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

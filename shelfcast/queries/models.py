@@ -1,11 +1,21 @@
-"""Model queries. Tree counts are small here; the learners' defaults are the full sizes."""
+"""Model queries, and for each a check that its forecast is whole and sound.
+
+The functions below take the number of trees. The registered queries use ``FOREST_TREES`` and
+``BOOST_TREES``, which the environment variables of that name raise or lower; the learners'
+own defaults are the full sizes.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+import os
+from collections.abc import Callable
+
+from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.columns import LABEL
+from shelfcast.columns import HORIZON, LABEL
 from shelfcast.operators import encode, filters, learners, rollup, windows
 from shelfcast.plans import tables
 from shelfcast.queries import common
@@ -13,118 +23,224 @@ from shelfcast.queries.common import query
 from shelfcast.session import written
 from shelfcast.sources.retail import Mart
 
-TREES = 10
+FOREST_TREES = int(os.environ.get("FOREST_TREES", "100"))
+BOOST_TREES = int(os.environ.get("BOOST_TREES", "20"))
+GROUP_KEYS = ["store_id", "dept_id"]
 
+# Training rows, horizon rows, feature columns.
+Parts = tuple[DataFrame, DataFrame, list[str]]
 
-def _aggregate(mart: Mart, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Training and horizon rows of an aggregate level, keys as codes beside themselves."""
+
+def _total(mart: Mart) -> Parts:
+    """The total series, with every day feature."""
     days = common.aggregate_days_table(mart)
-    rolled = rollup.sum_by(common.dated_sales(mart), keys)
-    train = tables.aggregate_table(rolled, days, keys, mart.small_days)
-    future = tables.aggregate_future(rolled, days, mart.cutoff, keys, mart.small_days)
-    if keys:
-        both = train.withColumn("_future", F.lit(0)).unionByName(
-            future.withColumn("_future", F.lit(1)), allowMissingColumns=True
-        )
-        both = encode.label_encode(both, keys, suffix="_code")
-        train = both.filter("_future = 0").drop("_future")
-        future = both.filter("_future = 1").drop("_future", LABEL)
-    return train, future
-
-
-def _label_tables(mart: Mart, season: bool = False) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Label-encoded training and horizon rows, cut from one written table.
+    rolled = rollup.sum_by(common.dated_sales(mart), [])
+    train = written(tables.aggregate_table(rolled, days, small=mart.small_days), "total-train")
+    future = tables.aggregate_future(rolled, days, mart.cutoff, small=mart.small_days)
+    name = F.lit("total").alias("id")
+    return train.select(name, "*"), future.select(name, "*"), learners.feature_columns(train)
+
+
+def _groups(mart: Mart) -> Parts:
+    """Store and department series with the day's own holidays and sports, no date parts or leads."""
+    days = common.aggregate_days_table(mart)
+    parts = {"year", "month", "weekday", "monthday", "weekmonth"}
+    days = days.select(*[c for c in days.columns if "_Lead_" not in c and c not in parts])
+    rolled = mart.table("group-sales", lambda: rollup.sum_by(common.dated_sales(mart), GROUP_KEYS))
+    codes = encode.label_encode(mart.series.select(*GROUP_KEYS).distinct(), GROUP_KEYS, suffix="_code")
+    codes = F.broadcast(codes) if common.few_groups(mart, GROUP_KEYS) else codes
+    train = tables.aggregate_table(rolled, days, GROUP_KEYS, mart.small_days).join(codes, GROUP_KEYS)
+    future = tables.aggregate_future(rolled, days, mart.cutoff, GROUP_KEYS, mart.small_days).join(codes, GROUP_KEYS)
+    train = written(train, "group-train")
+    return train, future, learners.feature_columns(train)
+
+
+def _series(mart: Mart) -> Parts:
+    """The per-series table with the series' codes among its features."""
+    train = common.training_table(mart, start=common.TRAIN_START)
+    codes = encode.encode_items(mart.series).select(
+        "id", *[F.col(c).alias(f"{c}_code") for c in ("item_id", "dept_id", "cat_id", "store_id", "state_id")]
+    )
+    train = mart.table("series-train", lambda: train.join(codes, "id"))
+    future = common.horizon_table(mart).join(codes, "id")
+    return train, future, [c for c in learners.feature_columns(train) if c in future.columns]
+
+
+def _label(mart: Mart, season: bool) -> Parts:
+    """Label-encoded rows, cut from one written table.
 
     The model reads its rows many times, so they are written once. The keys of the
-    stores stay beside their codes. The season table has no lags.
+    stores stay beside their codes. The season table has no lags and no day of month.
     """
-    if season:
-        table = common.season_label_table(mart)
-    else:
-        days = common.label_days_table(mart)
-        spine = windows.add_lag_features(common.spine(mart))
-        extra = [c for c in spine.columns if c.startswith(("lag_", "rmean_")) and c != "lag_7"]
-        table = tables.label_table(spine, days, encode.encode_items(mart.series), mart.small_days, extra)
-    table = table.withColumnRenamed("store_id", "store_code").join(mart.series.select("id", "store_id"), "id")
-    table = written(table, "model-table", by=["store_id"])
+
+    def make() -> DataFrame:
+        if season:
+            table = common.season_label_table(mart).drop("monthday")
+        else:
+            days = common.label_days_table(mart)
+            spine = windows.add_lag_features(common.spine(mart))
+            extra = [c for c in spine.columns if c.startswith(("lag_", "rmean_")) and c != "lag_7"]
+            table = tables.label_table(spine, days, encode.encode_items(mart.series), mart.small_days, extra)
+        return table.withColumnRenamed("store_id", "store_code").join(mart.series.select("id", "store_id"), "id")
+
+    table = mart.table("season-model" if season else "label-model", make)
     columns = learners.feature_columns(table)
     train, future = filters.train_rows(table, mart.cutoff), filters.eval_rows(table, mart.cutoff)
     return train, learners.fill_from_training(future, train, columns), columns
 
 
+def _last_known(train: DataFrame, mart: Mart, columns: list[str]) -> DataFrame:
+    """The last 28 known days with all their features."""
+    recent = filters.from_date(train, mart.cutoff - dt.timedelta(days=HORIZON))
+    return recent.na.drop(subset=[*columns, LABEL])
+
+
+def _forecast(mart: Mart, name: str, parts: Parts, fit: Callable[[DataFrame, list[str]], Model], keys: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Horizon predictions of a fitted model, written once; the known days' come with them."""
+
+    def make() -> DataFrame:
+        train, future, columns = parts
+        model = fit(train, columns)
+        known = _last_known(train, mart, columns)
+        fitted = learners.predict(model, known, columns).join(known.select(*keys, "date", LABEL), [*keys, "date"])
+        mean = train.agg(F.avg(LABEL)).first()[0]
+        ahead = learners.predict(model, future, columns).withColumn("part", F.lit("horizon"))
+        return ahead.unionByName(fitted.withColumns({"part": F.lit("known"), "mean": F.lit(mean)}), allowMissingColumns=True)
+
+    return mart.table(name, make)
+
+
+def _ahead(table: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
+    rows = table.filter("part = 'horizon'").drop("part", "mean", LABEL)
+    return windows.horizon_index(rows, keys=keys)
+
+
+def _sound(name: str, table: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
+    """One row: how many series and rows a forecast has, and whether it is whole and sound."""
+    ahead, known = F.col("part") == "horizon", F.col("part") == "known"
+    per_key = table.groupBy(*keys).agg(F.count(F.when(ahead, 1)).alias("n"))
+    count = per_key.agg(F.count("*").alias("n_ids"), F.sum("n").alias("n_rows"), (F.min("n") == F.max("n")).alias("even_rows"))
+    error = lambda c: F.avg(F.when(known, (F.col(LABEL) - F.col(c)) * (F.col(LABEL) - F.col(c))))
+    facts = table.agg(
+        (F.count(F.when(ahead & F.col("pred").isNull(), 1)) == 0).alias("no_missing"),
+        (F.count(F.when(ahead & (F.col("pred") < 0), 1)) == 0).alias("none_negative"),
+        (error("pred") < error("mean")).alias("beats_mean"),
+    )
+    one = lambda df: df.withColumn("model", F.lit(name))
+    return one(count).join(one(facts), "model")
+
+
+def _models(mart: Mart) -> dict[str, Callable[[], DataFrame]]:
+    """Each model's written predictions, by query name."""
+    forest = lambda share: lambda train, columns: learners.fit_forest(train, columns, FOREST_TREES, share=share)
+    return {
+        "rf_total_forecast": lambda: _forecast(mart, "rf-total", _total(mart), forest("0.5")),
+        "rf_store_dept_forecast": lambda: _forecast(mart, "rf-groups", _groups(mart), forest("0.5"), tuple(GROUP_KEYS)),
+        "rf_bottom_forecast": lambda: _forecast(mart, "rf-bottom", _series(mart), forest("sqrt")),
+        "gbm_global_forecast": lambda: _forecast(mart, "gbm-global", _label(mart, True), lambda t, c: _boosted(mart, t, c)),
+        "glm_poisson_forecast": lambda: _forecast(mart, "glm-poisson", _label(mart, True), learners.fit_poisson),
+        "glm_tweedie_forecast": lambda: _forecast(mart, "glm-tweedie", _label(mart, True), learners.fit_tweedie),
+    }
+
+
+def _boosted(mart: Mart, train: DataFrame, columns: list[str], trees: int = BOOST_TREES) -> Model:
+    """Boosted trees, as many as do best on the last 28 known days, fitted again on all rows."""
+    start = mart.cutoff - dt.timedelta(days=HORIZON)
+    tried = learners.fit_boosted(filters.train_rows(train, start), columns, trees)
+    best = learners.best_tree_count(tried, filters.from_date(train, start), columns)
+    return learners.fit_boosted(train, columns, best)
+
+
 @query
 def rf_total_forecast(mart: Mart) -> DataFrame:
-    train, future = _aggregate(mart, [])
-    columns = learners.feature_columns(train)
-    model = learners.fit_forest(train, columns, TREES, share="0.5")
-    return windows.horizon_index(learners.predict(model, future, columns).withColumn("id", F.lit("total")))
+    return _ahead(_models(mart)["rf_total_forecast"]())
 
 
 @query
 def rf_store_dept_forecast(mart: Mart) -> DataFrame:
-    keys = ["store_id", "dept_id"]
-    train, future = _aggregate(mart, keys)
-    columns = learners.feature_columns(train)
-    model = learners.fit_forest(train, columns, TREES, share="0.5")
-    return windows.horizon_index(learners.predict(model, future, columns), keys=keys)
-
-
-def _series_tables(mart: Mart) -> tuple[DataFrame, DataFrame, list[str]]:
-    train = common.training_table(mart, start=common.TRAIN_START)
-    codes = encode.encode_items(mart.series).select(
-        "id", *[F.col(c).alias(f"{c}_code") for c in ("item_id", "dept_id", "cat_id", "store_id", "state_id")]
-    )
-    train = written(train.join(codes, "id"), "series-train")
-    future = common.horizon_table(mart).join(codes, "id")
-    return train, future, [c for c in learners.feature_columns(train) if c in future.columns]
+    return _ahead(_models(mart)["rf_store_dept_forecast"](), tuple(GROUP_KEYS))
 
 
 @query
 def rf_bottom_forecast(mart: Mart) -> DataFrame:
     """One pooled forest with the series' codes among its features."""
-    train, future, columns = _series_tables(mart)
-    model = learners.fit_forest(train, columns, TREES)
-    return windows.horizon_index(learners.predict(model, future, columns))
+    return _ahead(_models(mart)["rf_bottom_forecast"]())
 
 
 @query
 def feature_importance(mart: Mart) -> DataFrame:
-    train, _, columns = _series_tables(mart)
-    return learners.importances(learners.fit_forest(train, columns, TREES), columns, train)
+    train, _, columns = _series(mart)
+    return learners.importances(learners.fit_forest(train, columns, FOREST_TREES, share="sqrt"), columns, train)
 
 
 @query
 def gbm_global_forecast(mart: Mart) -> DataFrame:
-    train, future, columns = _label_tables(mart, season=True)
-    model = learners.fit_boosted(train, columns, TREES)
-    return windows.horizon_index(learners.predict(model, future, columns))
+    return _ahead(_models(mart)["gbm_global_forecast"]())
 
 
 @query
 def gbm_per_store_forecast(mart: Mart) -> DataFrame:
-    train, future, columns = _label_tables(mart)
-    forecast = learners.forecast_per_store(filters.complete_rows(train), future, columns, trees=3)
+    train, future, columns = _label(mart, False)
+    forecast = learners.forecast_per_store(filters.complete_rows(train), future, columns, trees=BOOST_TREES)
     return windows.horizon_index(forecast)
 
 
 @query
 def glm_poisson_forecast(mart: Mart) -> DataFrame:
-    train, future, columns = _label_tables(mart, season=True)
-    model = learners.fit_poisson(train, columns)
-    return windows.horizon_index(learners.predict(model, future, columns))
+    return _ahead(_models(mart)["glm_poisson_forecast"]())
 
 
 @query
 def glm_tweedie_forecast(mart: Mart) -> DataFrame:
-    train, future, columns = _label_tables(mart, season=True)
-    model = learners.fit_tweedie(train, columns)
-    return windows.horizon_index(learners.predict(model, future, columns))
+    return _ahead(_models(mart)["glm_tweedie_forecast"]())
 
 
 @query
 def fitted_vs_actual(mart: Mart) -> DataFrame:
-    train, _ = _aggregate(mart, [])
-    columns = learners.feature_columns(train)
-    model = learners.fit_forest(train, columns, TREES, share="0.5")
+    train, _, columns = _total(mart)
+    model = learners.fit_forest(train, columns, FOREST_TREES, share="0.5")
     fitted = learners.predict(model, train, columns, "fcast")
-    return train.select("date", LABEL).join(fitted, "date")
+    return train.select("date", LABEL).join(fitted.select("date", "fcast"), "date")
+
+
+# -- checks -------------------------------------------------------------------
+@query
+def check_rf_total(mart: Mart) -> DataFrame:
+    return _sound("rf_total_forecast", _models(mart)["rf_total_forecast"]())
+
+
+@query
+def check_rf_store_dept(mart: Mart) -> DataFrame:
+    return _sound("rf_store_dept_forecast", _models(mart)["rf_store_dept_forecast"](), tuple(GROUP_KEYS))
+
+
+@query
+def check_rf_bottom(mart: Mart) -> DataFrame:
+    return _sound("rf_bottom_forecast", _models(mart)["rf_bottom_forecast"]())
+
+
+@query
+def check_gbm_global(mart: Mart) -> DataFrame:
+    return _sound("gbm_global_forecast", _models(mart)["gbm_global_forecast"]())
+
+
+@query
+def check_glm_poisson(mart: Mart) -> DataFrame:
+    return _sound("glm_poisson_forecast", _models(mart)["glm_poisson_forecast"]())
+
+
+@query
+def check_glm_tweedie(mart: Mart) -> DataFrame:
+    return _sound("glm_tweedie_forecast", _models(mart)["glm_tweedie_forecast"]())
+
+
+@query
+def topdown_forest(mart: Mart) -> DataFrame:
+    """Store and department forests split to items by their shares, both id forms: a submission's rows."""
+    from shelfcast.operators import blend
+
+    groups = _ahead(_models(mart)["rf_store_dept_forecast"](), tuple(GROUP_KEYS))
+    groups = groups.select(*GROUP_KEYS, "h", F.col("pred").alias("group_pred"))
+    items = common.forecast_rows(mart, "b").join(mart.series.select("id", *GROUP_KEYS), "id")
+    split = blend.top_down(items, groups, GROUP_KEYS, common.few_groups(mart, GROUP_KEYS))
+    return blend.both_id_forms(split)

@@ -29,6 +29,8 @@ SETTINGS = {
 
 # A shuffle partition of this size sorts in an executor's memory without spilling.
 PARTITION_BYTES = 128 * 1024 * 1024
+# Rows take about so many times the bytes of their compressed columns.
+EXPANSION = 4
 
 
 def shuffle_partitions(input_bytes: int, least: int = 200) -> int:
@@ -50,11 +52,19 @@ def build_session(
 
 
 def apply_plan_settings(spark: SparkSession) -> None:
-    """Put the plan settings on a session somebody else built."""
+    """Put the plan settings on a session somebody else built; they hold for all its queries."""
     for key, value in PLAN_SETTINGS.items():
         spark.conf.set(key, value)
 
 
+def size_shuffles(spark: SparkSession, path: str) -> None:
+    """Raise the session's shuffle partitions to what a fact of this stored size needs; never lower them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stored = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    have = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions(EXPANSION * stored, least=have))
+
+
 @functools.cache
 def _local_dir() -> tempfile.TemporaryDirectory:
     return tempfile.TemporaryDirectory(prefix="shelfcast-")
@@ -80,9 +90,21 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _local_dir().name
 
 
+@functools.cache
+def _application_dir(spark: SparkSession, base: str) -> str:
+    """A folder of this application below ``base``; its file system removes it when the application ends."""
+    folder = f"{base}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return folder
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, kept until the application ends."""
+    folder = _application_dir(spark, shared_dir(spark))
+    return os.path.join(folder, f"{label}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:

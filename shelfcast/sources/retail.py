@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfcast.columns import DAY_LIMIT, FORECAST_COLS, HORIZON, SERIES_COLS
 from shelfcast.functions.text import day_label, series_key, to_validation
 from shelfcast.operators.reshape import pivot_days
-from shelfcast.session import apply_plan_settings, scratch_path, small_side, written
+from shelfcast.session import apply_plan_settings, scratch_path, size_shuffles, small_side, written
 
 # One item is one brand's line of this many consecutive part keys.
 PARTS_PER_LINE = 10_000
@@ -346,6 +346,7 @@ _marts: dict[tuple[str, str], Mart] = {}
 def open_mart(spark: SparkSession, sf_dir: str) -> Mart:
     """The mart of ``sf_dir`` in this application, shared by all its queries."""
     apply_plan_settings(spark)
+    size_shuffles(spark, f"{sf_dir}/lineitem.parquet")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _marts:
         _marts[key] = Mart(spark, sf_dir)

@@ -76,3 +76,46 @@ def test_label_table_model_covers_the_horizon(spark, sf_dir):
     out = REGISTRY["glm_poisson_forecast"](spark, sf_dir).persist()
     assert {r["count"] for r in out.groupBy("id").count().collect()} == {28}
     assert out.filter("pred IS NULL OR pred < 0").count() == 0
+
+
+def test_a_missing_feature_fails_instead_of_losing_a_row(table):
+    columns = ["code", "weekday"]
+    model = learners.fit_forest(table, columns, trees=2, depth=3)
+    with pytest.raises(Exception, match="(?i)null"):
+        learners.predict(model, table.withColumn("weekday", F.lit(None).cast("int")), columns).collect()
+
+
+def test_best_tree_count_is_the_best_of_all_counts(table):
+    cutoff = F.lit(START + dt.timedelta(days=150))
+    train, held = table.filter(F.col("date") < cutoff), table.filter(F.col("date") >= cutoff)
+    columns = ["code", "weekday", "weekend"]
+    model = learners.fit_boosted(train, columns, trees=6)
+    best = learners.best_tree_count(model, held, columns)
+    errors = model.evaluateEachIteration(learners.assemble(held, columns), "squared")
+    assert errors[best - 1] == min(errors) and 1 <= best <= 6
+
+
+def test_item_search_does_not_cancel(spark):
+    from shelfcast.operators import blend
+
+    values = [1e9 + 0.05 * (i % 7) for i in range(50)]
+    bottom = spark.createDataFrame([(f"s{i}", "F1", v) for i, v in enumerate(values)], "id string, key string, value double")
+    top = spark.createDataFrame([("F1", 1e9)], "key string, fcast double")
+    got = {round(r.mult, 2): r.rmse for r in blend.multiplier_search_by_item(bottom, top).collect()}
+    wanted = (sum((v - 1e9) ** 2 for v in values) / 50) ** 0.5
+    assert got[1.0] == pytest.approx(wanted, rel=1e-6)
+
+
+@pytest.mark.parametrize("name", ["gbm_per_store_forecast", "rf_bottom_forecast", "rf_store_dept_forecast", "topdown_forest"])
+def test_model_queries_cover_the_horizon(name, spark, sf_dir):
+    out = REGISTRY[name](spark, sf_dir).persist()
+    keys = ["store_id", "dept_id"] if name == "rf_store_dept_forecast" else ["id"]
+    assert {r["count"] for r in out.groupBy(*keys).count().collect()} == {28}
+    assert out.filter("pred < 0").count() == 0
+
+
+def test_fitted_values_and_importances(spark, sf_dir):
+    fitted = REGISTRY["fitted_vs_actual"](spark, sf_dir)
+    assert fitted.columns == ["date", "Value", "fcast"] and fitted.filter("fcast IS NULL").count() == 0
+    rows = REGISTRY["feature_importance"](spark, sf_dir).collect()
+    assert len(rows) > 100 and sum(r.importance for r in rows) == pytest.approx(1.0)
