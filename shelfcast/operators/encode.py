@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.columns import DAY_LIMIT, DICTIONARY_LIMIT, EVENT_COLS, HIERARCHY
+from shelfcast.columns import DICTIONARY_LIMIT, EVENT_COLS, HIERARCHY
 from shelfcast.functions.dates import date_parts, week_of_month, week_of_year_simple
 from shelfcast.session import fits, written
 
@@ -55,16 +55,16 @@ def _encode_few_rows(df: DataFrame, columns: Sequence[str], names: Sequence[str]
 
 
 def label_encode(
-    df: DataFrame, columns: Sequence[str], suffix: str = "", limit: int = DICTIONARY_LIMIT, row_limit: int = DAY_LIMIT
+    df: DataFrame, columns: Sequence[str], suffix: str = "", limit: int = DICTIONARY_LIMIT, days: bool = False
 ) -> DataFrame:
     """Replace (or, with ``suffix``, accompany) each column by its code; missing stays missing.
 
-    A frame of at most ``row_limit`` rows is ranked in place. Otherwise dictionaries of
-    at most ``limit`` values are numbered in one task and broadcast, and larger ones
-    are numbered by range and joined by shuffle.
+    A day table (``days``) is ranked in place. Of other frames dictionaries of at most
+    ``limit`` values are numbered in one task and broadcast, and larger ones are numbered by
+    range and joined by shuffle.
     """
     names = [f"{c}{suffix or '__code'}" for c in columns]
-    if fits(df.select(*columns), row_limit):
+    if days:
         out = _encode_few_rows(df, columns, names)
     else:
         out = df
@@ -104,10 +104,10 @@ def encode_calendar(calendar: DataFrame) -> DataFrame:
         "week": week_of_year_simple(date),
     }
     days = calendar.select("date", "weekday", *[c.alias(n) for n, c in parts.items()])
-    return label_encode(days, ["weekday", *parts])
+    return label_encode(days, ["weekday", *parts], days=True)
 
 
 def encode_events(calendar: DataFrame, events: Sequence[str] = EVENT_COLS, missing: str = "unknown") -> DataFrame:
     """Event columns of each day as codes; a missing event is a value of its own."""
     filled = calendar.select("date", *events).fillna(missing, subset=list(events))
-    return label_encode(filled, events)
+    return label_encode(filled, events, days=True)

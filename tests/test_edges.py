@@ -193,11 +193,10 @@ def test_label_codes_ignore_case_and_keep_missing(spark):
     assert got == {"A": 1, "a": 2, "b": 3, "C": 4, None: None}
 
 
-@pytest.mark.parametrize("limits", [(10_000, 10_000), (10_000, 0), (0, 0)], ids=["ranked", "dictionary", "ranges"])
-def test_label_codes_do_not_depend_on_the_way_they_are_made(spark, limits):
+@pytest.mark.parametrize("limit, days", [(10_000, True), (10_000, False), (0, False)], ids=["ranked", "dictionary", "ranges"])
+def test_label_codes_do_not_depend_on_the_way_they_are_made(spark, limit, days):
     df = spark.range(3000).select(F.concat(F.lit("v"), (F.col("id") * 7919 % 701).cast("string")).alias("x"), (F.col("id") % 13).alias("y"))
-    limit, row_limit = limits
-    out = encode.label_encode(df, ["x", "y"], "_code", limit=limit, row_limit=row_limit)
+    out = encode.label_encode(df, ["x", "y"], "_code", limit=limit, days=days)
     wanted = {v: i + 1 for i, v in enumerate(sorted({f"v{i * 7919 % 701}" for i in range(3000)}))}
     rows = out.collect()
     assert len(rows) == 3000
