@@ -84,23 +84,31 @@ def chained(rows: DataFrame, tree: str, order: str) -> DataFrame:
     return numbered.select("tree_id", "message_id", parent.alias("parent_id"), "role", "text", score.alias("score"))
 
 
-def _seen(messages: DataFrame) -> list[DataFrame]:
-    """Tables (tree, node, up, total, depth); that of round k looks 2 ** k steps up."""
+def _seen(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Pointers (tree, node, up, total, depth) 1, 2, 4, ... steps up, and the same up to the root.
+
+    A message whose pointer has reached the root takes no part in later rounds, but for those
+    that point to it.
+    """
     ids = messages.select("tree", F.col("node").alias("up"), F.lit(True).alias("known"))
     first = messages.select("tree", "node", F.col("parent_id").alias("up"), "score").join(ids, ["tree", "up"], "left")
-    up = F.when(F.col("known"), F.col("up"))
-    rounds = [written(first.select("tree", "node", up.alias("up"), F.col("score").alias("total"), F.lit(1).cast("bigint").alias("depth")), "tree-round")]
+    up = F.when(F.col("known"), F.col("up")).alias("up")
+    one = F.lit(1).cast("bigint").alias("depth")
+    now = written(first.select("tree", "node", up, F.col("score").alias("total"), one), "tree-round")
+    rounds, done = [], now.filter(F.col("up").isNull())
     # No path is longer than there are messages.
     for _ in range(messages.count().bit_length() + 1):
-        now = rounds[-1]
-        if now.filter(F.col("up").isNotNull()).isEmpty():
-            return rounds
-        far = now.select("tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("total").alias("more"), F.col("depth").alias("deeper"))
-        joined = now.join(far, ["tree", "up"], "left")
-        longer = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
-        rounds.append(
-            written(joined.select("tree", "node", F.col("far").alias("up"), longer("total", "more"), longer("depth", "deeper")), "tree-round")
+        now = now.filter(F.col("up").isNotNull())
+        if now.isEmpty():
+            return rounds, done
+        rounds.append(now)
+        far = now.unionByName(done).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("total").alias("more"), F.col("depth").alias("deeper")
         )
+        total, depth = (F.col("total") + F.col("more")).alias("total"), (F.col("depth") + F.col("deeper")).alias("depth")
+        joined = now.join(far, ["tree", "up"])
+        now = written(joined.select("tree", "node", F.col("far").alias("up"), total, depth), "tree-round")
+        done = done.unionByName(now.filter(F.col("up").isNull()))
     raise ValueError("some messages are their own ancestors")
 
 
@@ -115,17 +123,16 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
         F.coalesce("score", F.lit(0.0)).alias("score"),
     )
     own = written(own, "tree-messages")
-    rounds = _seen(own)
+    rounds, whole = _seen(own)
     parents = own.select("tree", F.col("parent_id").alias("node")).distinct()
-    leaves = rounds[-1].join(parents, ["tree", "node"], "left_anti")
+    leaves = whole.join(parents, ["tree", "node"], "left_anti")
     ranked = Window.partitionBy("tree").orderBy(F.col("total").desc(), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= best)
-    chosen = chosen.select("tree", "rank", F.col("total").alias("path_score"), "node")
-    for pointers in rounds[:-1]:
-        step = pointers.filter(F.col("up").isNotNull()).select("tree", "node", "up")
-        higher = chosen.join(step, ["tree", "node"]).select("tree", "rank", "path_score", F.col("up").alias("node"))
-        chosen = written(chosen.unionByName(higher), "tree-paths")
-    turns = chosen.join(rounds[-1].select("tree", "node", "depth"), ["tree", "node"]).join(own, ["tree", "node"])
+    chosen = written(chosen.select("tree", "rank", F.col("total").alias("path_score"), "node"), "tree-paths")
+    for pointers in rounds:
+        higher = chosen.join(pointers.select("tree", "node", "up"), ["tree", "node"]).select("tree", "rank", "path_score", F.col("up").alias("node"))
+        chosen = chosen.unionByName(written(higher, "tree-paths"))
+    turns = chosen.join(whole.select("tree", "node", "depth"), ["tree", "node"]).join(own, ["tree", "node"])
     turn = F.struct("depth", "role", "text")
     rows = turns.groupBy("tree", "rank", "path_score").agg(F.first("tree_id").alias("tree_id"), F.sort_array(F.collect_list(turn)).alias("turns"))
     return rows.select("tree_id", "rank", F.col("path_score").alias("score"), "turns")
