@@ -23,7 +23,7 @@ from shelfcast.queries.common import query
 from shelfcast.session import written
 from shelfcast.sources.retail import Mart
 
-FOREST_TREES = int(os.environ.get("FOREST_TREES", "100"))
+FOREST_TREES = int(os.environ.get("FOREST_TREES", "50"))
 BOOST_TREES = int(os.environ.get("BOOST_TREES", "20"))
 GROUP_KEYS = ["store_id", "dept_id"]
 
