@@ -187,7 +187,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, chunk: int = CHUNK, overlap: i
     left = huge.select("key", "n_chars", "body").dropDuplicates(["key"])
     size, lap, done = chunk, overlap, []
     while True:
-        found = written(_spliced(_chunks(left, tokenizer, size, lap)), "token-splice")
+        # Three joins read the chunks, so they are encoded into a table.
+        chunks = written(_chunks(left, tokenizer, size, lap), "token-chunks")
+        found = written(_spliced(chunks), "token-splice")
         done.append(found.filter(F.col("n_tokens").isNotNull()))
         failed = found.filter(F.col("n_tokens").isNull()).select("key")
         if failed.isEmpty():
