@@ -39,7 +39,7 @@ from shelfcast.session import scratch_path
 
 BLOCK_TOKENS = 1 << 20
 WORDS_KEPT = 1_000_000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 MARK = "\x01"
 TAIL = ".,!?;:|#*$%&+-=()[]{}/@_~^`\""
 TOGETHER = 256
