@@ -229,7 +229,8 @@ def parse(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """
     read = written(profiles(docs, window, gram), "rlz-profiles")
     known = read.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
-    firsts = known.groupBy("sha").agg(F.min("doc_id").alias("first_doc"))
+    # Written, so that the joins with it read it as scanned and a text of many copies is split.
+    firsts = written(known.groupBy("sha").agg(F.min("doc_id").alias("first_doc")), "rlz-texts")
     single = known.join(firsts, "sha").filter(F.col("doc_id") == F.col("first_doc"))
     held = written(single.select("doc_id", F.explode("anchors").alias("anchor")).distinct(), "rlz-anchors")
     ends = held.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
