@@ -164,6 +164,33 @@ def test_decontamination_finds_substituted_passages(spark):
     assert sorted(r.doc_id for r in clean.collect()) == [3, 4, 5, 6, 9]
 
 
+def brute_best(doc, item):
+    """The most equal share of a span of 13 words or more that two texts have on an alignment."""
+    best = 0.0
+    for shift in range(13 - len(item), len(doc) - 12):
+        same = [doc[j + shift] == item[j] for j in range(max(0, -shift), min(len(item), len(doc) - shift))]
+        best = max([best, *(sum(same[a:b]) / (b - a) for a in range(len(same)) for b in range(a + 13, min(len(same), a + 30) + 1))])
+    return best
+
+
+def test_decontamination_finds_passages_from_inside_an_item(spark):
+    """Runs of 13 words and more from the middle or the ends of an item, and 80 % equal ones, in a long document."""
+    item = [f"i{k}" for k in range(59)]
+    passages = {n: item[15 : 15 + n] for n in range(5, 26)}
+    passages |= {100 + n: item[:n] for n in (13, 14)} | {200 + n: item[-n:] for n in (13, 14)}
+    fifth = ["zzz" if k % 5 == 4 else w for k, w in enumerate(item)]
+    passages |= {300: fifth[15:40], 301: fifth[15:28], 302: ["zzz" if k % 3 == 2 else w for k, w in enumerate(item)][15:40]}
+    # Three changed words in the middle: no 13 of the 15 words agree enough, all 15 do.
+    passages |= {303: [*item[15:21], "a", *item[22:23], "b", *item[24:25], "c", *item[26:30]]}
+    given = [(k, " ".join([*(f"d{k}a{j}" for j in range(60)), *p, *(f"d{k}b{j}" for j in range(60))])) for k, p in passages.items()]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    found = {r.doc_id: r for r in decontamination.overlaps(documents(spark, [(*g, "a") for g in given]), bench).collect()}
+    expected = {k for k, t in given if brute_best(t.split(), item) >= 0.8}
+    assert set(found) == expected and expected >= {*range(13, 26), 113, 114, 213, 214, 300, 301, 303}
+    for n in range(13, 21):
+        assert found[n].equal_words == n and found[n].first_word <= 60 and found[n].end_word >= 60 + n
+
+
 def test_decontamination_in_blocks_is_the_same(spark, docs, monkeypatch):
     bench = spark.createDataFrame([(k, t) for k, t, _ in rows() if k and t], "item_id bigint, text string")
     once = sorted(decontamination.overlaps(docs, bench).drop("doc_key").collect(), key=key)
