@@ -378,6 +378,16 @@ def test_licences_are_told_apart(spark):
     assert got == {(i, f) for i, (f, _) in planted.items()} | {(None, "proprietary")}
 
 
+def test_licences_are_found_where_ordinary_text_holds_their_words(spark):
+    told = sorted({w for f in licences.FAMILIES for n in licences.NOTICES[f] for run in licences._runs(n) for w in run.split()} - {"gnu", "redistributions"})
+    line = lambda k: " ".join(told[(5 * k + j // 4) % len(told)] if j % 4 == 0 else f"w{(7 * k + j) % 300:x}" for j in range(20))
+    given = [(100 + k, "\n".join(line(4 * k + j) for j in range(4)), "a") for k in range(120)]
+    planted = {1: ("apache-2.0", "Licensed under the Apache License, Version 2.0."), 2: ("mit", "Released under the MIT License."), 3: ("proprietary", "All rights reserved.")}
+    given += [(i, line(i) + "\n" + notice, "a") for i, (_, notice) in planted.items()]
+    got = {(r.doc_id, r.family) for r in licences.find_licences(documents(spark, given)).filter("family <> 'unknown'").collect()}
+    assert got == {(i, f) for i, (f, _) in planted.items()}
+
+
 # -- token counts -------------------------------------------------------------------------
 def test_token_counts(docs):
     tokenizer = Tokenizer.from_file(BYTE_FILE)
