@@ -8,9 +8,11 @@ shorter item) and ``MIN_EQUAL`` of its words agree. If the words of up to ``CONT
 to either side do, they are the span; else it grows from the hit as far as the segment goes
 and is the one with most agreement above that share.
 
+Items of fewer words than the shortest mask spans are found where all their words stand in a
+row, by a mask of ones of their length.
+
 Words are runs of letters and digits in lower case. Defined cases: null and empty texts and
-items, and items of fewer words than the shortest mask spans, match nothing; repeated items
-match each; repeated documents are reported once per id; a null id is reported as null; an
+items match nothing; repeated items match each; repeated documents are reported once per id; a null id is reported as null; an
 empty table gives no rows. Only ``doc_id``, ``text`` and ``item_id`` are read.
 
 Documents are streamed past the seeds of one block of item segments at a time. A segment has
@@ -43,12 +45,19 @@ def plain_words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(whole(text)), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(tokens: Column, at: Column) -> Column:
+def _masks(short: list[int]) -> list[str]:
+    """The fixed masks and one for whole items of each short length."""
+    return [*MASKS, *("1" * n for n in short)]
+
+
+def _seeds(tokens: Column, at: Column, short: list[int], item: bool = False) -> Column:
     """The hash of every mask laid at position ``at``; null where it does not fit."""
     hashes = []
-    for number, mask in enumerate(MASKS):
+    for number, mask in enumerate(_masks(short)):
         under = [F.get(tokens, at + k) for k, bit in enumerate(mask) if bit == "1"]
         fits = at + len(mask) <= F.size(tokens)
+        if item and number >= len(MASKS):
+            fits &= F.size(tokens) == len(mask)
         hashes.append(F.when(fits, F.xxhash64(F.lit(number), *under)))
     return F.array(*hashes)
 
@@ -105,17 +114,17 @@ def _grown(low: Column, high: Column) -> Column:
     return F.array_compact(found)
 
 
-def _hits(docs: DataFrame, segments: DataFrame) -> DataFrame:
+def _hits(docs: DataFrame, segments: DataFrame, short: list[int]) -> DataFrame:
     """Verified overlaps of the documents with one block of segments."""
-    spans = F.array(*[F.lit(len(mask)) for mask in MASKS])
+    spans = F.array(*[F.lit(len(mask)) for mask in _masks(short)])
     seeds = (
         segments.select("segment", "item_words", F.posexplode("item_words").alias("item_at", "_"))
-        .select("segment", "item_at", F.posexplode(_seeds(F.col("item_words"), F.col("item_at"))).alias("mask", "seed"))
+        .select("segment", "item_at", F.posexplode(_seeds(F.col("item_words"), F.col("item_at"), short, item=True)).alias("mask", "seed"))
         .filter(F.col("seed").isNotNull())
         .select("segment", "item_at", "seed", F.get(spans, F.col("mask")).alias("span"))
     )
     runs = docs.select("doc_id", "doc_key", "doc_words", F.posexplode_outer("doc_words").alias("doc_at", "_"))
-    runs = runs.select("doc_id", "doc_key", "doc_words", "doc_at", F.explode(_seeds(F.col("doc_words"), F.col("doc_at"))).alias("seed"))
+    runs = runs.select("doc_id", "doc_key", "doc_words", "doc_at", F.explode(_seeds(F.col("doc_words"), F.col("doc_at"), short)).alias("seed"))
     shift = F.col("doc_at") - F.col("item_at")
     first, last = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("item_words"), F.size("doc_words") - F.col("shift"))
     low = F.greatest(first, F.col("item_at") - CONTEXT)
@@ -142,12 +151,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     read = docs.select("doc_id", identity(F.col("doc_id"), F.col("text")).alias("doc_key"), plain_words(F.col("text")).alias("doc_words"))
     segments = _segments(benchmark)
-    blocks = -(-segments.count() // BLOCK)
+    below = F.size("item_words").between(1, min(map(len, MASKS)) - 1)
+    count, lengths = segments.agg(F.count("*"), F.collect_set(F.when(below, F.size("item_words")))).first()
+    blocks, short = -(-count // BLOCK), sorted(lengths)
     if blocks > 1:
         parts = [segments.filter(F.pmod("segment", F.lit(blocks)) == b) for b in range(blocks)]
     else:
         parts = [segments]
-    found = functools.reduce(DataFrame.unionByName, [_hits(read, part) for part in parts])
+    found = functools.reduce(DataFrame.unionByName, [_hits(read, part, short) for part in parts])
     return found.groupBy("doc_id", "doc_key", "item_id").agg(
         F.count("*").alias("n_hits"),
         F.max("equal").cast("bigint").alias("equal_words"),

@@ -191,6 +191,13 @@ def test_decontamination_finds_passages_from_inside_an_item(spark):
         assert found[n].equal_words == n and found[n].first_word <= 60 and found[n].end_word >= 60 + n
 
 
+def test_decontamination_finds_items_shorter_than_the_masks(spark):
+    bench = spark.createDataFrame([(1, "Solo"), (2, "one, two three"), (3, "a b c d e f"), (4, "one two three four five six seven eight")], "item_id bigint, text string")
+    given = [(1, "x y z solo x"), (2, "x one two three y"), (3, "one two x three"), (4, "A b c d e f"), (5, "a b c d e x f"), (6, "")]
+    found = decontamination.overlaps(documents(spark, [(*g, "a") for g in given]), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.equal_words, r.first_word, r.end_word) for r in found) == [(1, 1, 1, 3, 4), (2, 2, 3, 1, 4), (4, 3, 6, 0, 6)]
+
+
 def test_decontamination_in_blocks_is_the_same(spark, docs, monkeypatch):
     bench = spark.createDataFrame([(k, t) for k, t, _ in rows() if k and t], "item_id bigint, text string")
     once = sorted(decontamination.overlaps(docs, bench).drop("doc_key").collect(), key=key)
