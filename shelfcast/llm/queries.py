@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
-    decontamination, licences, line_rules, mixing, reply_trees, simhash, substring, suffix_tree, token_counts, token_output,
+    decontamination, languages, licences, line_rules, mixing, periodic, prefix_trie, reply_trees, simhash, substring, suffix_tree,
+    token_counts, token_output,
 )
 from shelfcast.session import scratch_path
 
@@ -105,3 +106,28 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("probability").alias("probability"),
         F.max("similarity").alias("similarity"),
     )
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return languages.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, some of which repeat themselves by the fixed rule."""
+    found = periodic.strongest(periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents"))))
+    best = F.col("best")
+    return found.select(
+        "doc_id", F.size("starts").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.lower(F.hex("runs_sha")).alias("runs_sha256"), F.lower(F.hex("kept_sha")).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of the rebuilt conversations."""
+    lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.paths(prefix_trie.rebuilt(lists)))

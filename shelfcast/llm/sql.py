@@ -112,9 +112,43 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+# CRC-32 of a number's decimal text, bit by bit.
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+  lambda crc, b: list_reduce(range(8),
+    lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END, xor(crc, b)), 4294967295::BIGINT))"""
+
+_TRIE = f"""
+WITH c AS (
+  SELECT conv_id, turn, md5(md5(coalesce(role, '')) || coalesce(text, '')) AS digest, strlen(coalesce(text, ''))::BIGINT AS size
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, list({{'digest': digest, 'size': size}} ORDER BY turn NULLS FIRST, digest) AS t FROM c GROUP BY conv_id),
+h AS (SELECT conv_id, t, {_CRC32} % 9 AS h FROM l),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.t[1 : h.h], []), h.t[h.h + 1 :]) AS t
+  FROM h LEFT JOIN l AS b ON b.conv_id = h.conv_id - h.conv_id % 5),
+p AS (
+  SELECT conv_id, len(t) AS n, d, array_to_string(list_transform(t[1 : d], lambda x: x.digest), '') AS key,
+    CASE WHEN d > 0 THEN array_to_string(list_transform(t[1 : d - 1], lambda x: x.digest), '') END AS parent,
+    CASE WHEN d > 0 THEN t[d].size ELSE 0 END AS size
+  FROM (SELECT conv_id, t, unnest(range(len(t) + 1)) AS d FROM r)),
+node AS (
+  SELECT key, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM p GROUP BY key),
+kids AS (SELECT parent AS key, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY parent),
+full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (key)),
+below AS (
+  SELECT left(key, 32 * d::INTEGER) AS key, sum((n_convs - 1) * size) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT key, n_convs, size, n_children, unnest(range(depth + 1)) AS d FROM full_) GROUP BY 1)
+SELECT f.conv_id, f.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, f.n_convs, f.n_children, leaves AS n_leaves,
+  saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM full_ f JOIN below USING (key) LEFT JOIN full_ a ON a.key = f.parent
+"""
+
 CHECKS = {
     "op1_benchmark_decontamination": _DECONTAMINATION,
     "op3_quality_rules": _QUALITY,
     "op5_chat_formatting": _CHAT,
     "op10_substring_dedup": _SUBSTRING,
+    "op13_prefix_trie": _TRIE,
 }

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfcast.llm import (
-    decontamination, licences, line_rules, mixing, reply_trees, simhash, substring, suffix_tree, token_counts, token_output,
+    decontamination, languages, licences, line_rules, mixing, periodic, prefix_trie, reply_trees, simhash, substring, suffix_tree,
+    token_counts, token_output,
 )
 from shelfcast.session import scratch_path
 
@@ -462,6 +463,9 @@ def test_empty_tables_give_no_rows(spark):
     assert licences.find_licences(none).count() == 0
     assert token_counts.count_tokens(none, BYTE_FILE).count() == 0
     assert substring.parse(none).count() == 0
+    assert languages.identify(none).count() == 0
+    assert periodic.periodic_runs(none).count() == 0
+    assert prefix_trie.trie(prefix_trie.paths(prefix_trie.rebuilt(prefix_trie.turn_lists(turns)))).count() == 0
 
 
 def test_benchmark_may_be_empty(docs, spark):
