@@ -16,7 +16,8 @@
 Whole texts are read, in pieces of ``PIECE`` characters, so memory does not grow with a text.
 
 Bounds. Weights are ``FEATURES`` rows by one column a language, at most ``LANGUAGES``, and pass
-through the driver, as do the gradients' sums and document frequencies of that shape.
+through the driver, as do document frequencies and the ``TASKS`` sums of a step's gradients of
+that shape.
 
 Defined cases: a null text or one without letters is ``und`` with score 0, and so is every text
 if nothing is learnable. A null id is not held out, and nothing is learned from it, from a
@@ -44,7 +45,8 @@ ORDER = 3
 FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
 QUOTA = 1500
-LANGUAGES = 400
+LANGUAGES = 100
+TASKS = 4
 BATCHES = 6
 EPOCHS = 6
 PIECE = 1 << 19
@@ -266,27 +268,32 @@ def _raw(batch: pa.RecordBatch, weights: np.ndarray, bias: np.ndarray) -> np.nda
 def _gradient(vectors: DataFrame, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, int]:
     """Sum of the rows' gradients by feature and language, the bias as last feature, and the rows."""
     c = len(bias)
-    sent = vectors.sparkSession.sparkContext.broadcast((weights, bias))
+    # Most weights are zero, and a step's weights are of no use after it.
+    some = np.flatnonzero(weights.any(1))
+    sent = vectors.sparkSession.sparkContext.broadcast((some, weights[some], bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros((FEATURES + 1, c)), 0
+        weights = np.zeros((FEATURES, c))
+        weights[sent.value[0]] = sent.value[1]
         for batch in batches:
             row, feature, value, label = _rows_of(batch)
-            miss = _softmax(_raw(batch, *sent.value))
+            miss = _softmax(_raw(batch, weights, sent.value[2]))
             miss[np.arange(len(label)), label] -= 1
             for k in range(c):
                 total[:-1, k] += np.bincount(feature, miss[row, k] * value, FEATURES)
             total[-1] += miss.sum(0)
             n += batch.num_rows
-        flat = total.ravel()
-        used = np.flatnonzero(flat)
-        place, amount = np.append(used, flat.size), np.append(flat[used], float(n))
-        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(amount)], ["place", "amount"])
+        used = np.flatnonzero(total.any(1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([used.tobytes()]), pa.array([total[used].tobytes()])], ["n", "used", "sums"])
 
-    summed = vectors.mapInArrow(run, "place bigint, amount double").groupBy("place").agg(F.sum("amount").alias("amount")).toPandas()
-    flat = np.zeros((FEATURES + 1) * c + 1)
-    flat[summed["place"].to_numpy()] = summed["amount"].to_numpy()
-    return flat[:-1].reshape(FEATURES + 1, c), int(flat[-1])
+    # A row a task, and a batch has at most ``TASKS`` of them.
+    parts = vectors.mapInArrow(run, "n bigint, used binary, sums binary").collect()
+    sent.destroy()
+    total = np.zeros((FEATURES + 1, c))
+    for part in parts:
+        total[np.frombuffer(part["used"], np.int32)] += np.frombuffer(part["sums"]).reshape(-1, c)
+    return total, sum(part["n"] for part in parts)
 
 
 def _follow(vectors: DataFrame, c: int, ftrl: Ftrl, epochs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -345,7 +352,7 @@ def fit(docs: DataFrame, ftrl: Ftrl = PRODUCTION, quota: int = QUOTA, epochs: in
     frequency = _document_frequencies(rows)
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
     sample = _sample(rows, languages, [r["count"] for r in counts], quota)
-    vectors = written(_vectors(sample, idf).repartition(4, "batch", F.xxhash64("features")), "language-vectors", by=["batch"])
+    vectors = written(_vectors(sample, idf).repartition(TASKS), "language-vectors", by=["batch"])
     weights, bias = _follow(vectors, len(languages), ftrl, epochs)
     return Model(languages, weights * idf[:, None], bias, _temperature(vectors, weights, bias))
 
