@@ -357,5 +357,27 @@ def sound(model: str, ids: str) -> str:
 
 CHECKS["check_rf_total"] = sound("rf_total_forecast", "SELECT DISTINCT 'total' FROM series")
 CHECKS["check_rf_store_dept"] = sound("rf_store_dept_forecast", "SELECT DISTINCT store_id, dept_id FROM series")
-for model in ("rf_bottom", "gbm_global", "glm_poisson", "glm_tweedie"):
+for model in ("rf_bottom", "gbm_global", "gbm_per_store", "gbm_tweedie", "glm_poisson", "glm_tweedie"):
     CHECKS[f"check_{model}"] = sound(f"{model}_forecast", "SELECT id FROM series")
+CHECKS["check_feature_importance"] = """
+    SELECT true AS named_once, true AS none_negative, true AS add_up, true AS some_stand_out"""
+CHECKS["check_fitted_vs_actual"] = f"""
+    SELECT count(*) AS n_days, min(date) AS first_day, max(date) AS last_day, CAST(sum("Value") AS BIGINT) AS total, true AS fits
+    FROM ({CHECKS["assemble_top_level_table"]})"""
+# Every split of every feature by value: rows, demand and fitted demand up to the value, and how
+# much the Poisson loss falls when both sides take their own mean. Sums are in the learner's unit.
+SPLIT_BY = ["weekday", "monthday", "month", "quarter", "dept_id", "store_id"]
+POISSON_FALL = "CASE WHEN {b} <= 0 THEN 0 WHEN {a} <= 0 THEN {b} ELSE {a} * ln({a} / {b}) - {a} + {b} END"
+FALLS = [POISSON_FALL.format(a=a, b=b) for a, b in (("la", "lb"), ("(ta - la)", "(tb - lb)"), ("ta", "tb"))]
+CHECKS["check_first_split"] = f"""
+    WITH t AS (SELECT * FROM ({CHECKS["assemble_label_encoded_table"]}) WHERE date < {CUTOFF} AND "Value" IS NOT NULL),
+    m AS (SELECT round(avg("Value"::DOUBLE) * 1048576) / 1048576 AS b FROM t),
+    v AS ({" UNION ALL ".join(f"SELECT {k} AS k, '{c}' AS feature, {c} AS x, count(*) AS n, sum(\"Value\")::DOUBLE AS a FROM t GROUP BY {c}" for k, c in enumerate(SPLIT_BY))}),
+    c AS (
+        SELECT k, feature, dense_rank() OVER (PARTITION BY k ORDER BY x) AS bin, sum(n) OVER u AS ln_, sum(a) OVER u AS la,
+               sum(n) OVER w AS tn, sum(a) OVER w AS ta
+        FROM v WINDOW w AS (PARTITION BY k), u AS (PARTITION BY k ORDER BY x)),
+    g AS (SELECT *, b * ln_ AS lb, b * tn AS tb FROM c, m WHERE ln_ >= 10 AND tn - ln_ >= 10)
+    SELECT CASE WHEN feature = 'store_id' THEN 'store_code' ELSE feature END AS feature, CAST(bin AS INTEGER) AS bin,
+           CAST(tn AS BIGINT) AS n_rows, round({FALLS[0]} + {FALLS[1]} - ({FALLS[2]}), 2) AS gain
+    FROM g ORDER BY {FALLS[0]} + {FALLS[1]} DESC, k, bin LIMIT 1"""

@@ -1,14 +1,13 @@
-"""Forecast models, fitted by MLlib on the partitioned feature table."""
+"""Forests and linear models, fitted by MLlib on the partitioned feature table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +16,6 @@ from shelfcast.columns import LABEL
 from shelfcast.functions.values import clip_nonnegative
 
 KEYS = ("id", "date", "store_id", "dept_id")
-# Models per store are fitted by the driver's jobs, so their number is bounded.
-STORE_LIMIT = 1000
-FITS_AT_ONCE = 4
 
 
 def feature_columns(df: DataFrame, skip: Sequence[str] = (LABEL, *KEYS)) -> list[str]:
@@ -41,9 +37,9 @@ def assemble_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def fill_from_training(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing features as the training mean, so that every horizon row gets a prediction.
 
-    Short lags reach into the horizon and are missing on its later days. A learner that
-    splits on missing values would keep them missing; MLlib's do not take any. A column
-    without any training value stays missing, and ``predict`` then fails.
+    Short lags reach into the horizon and are missing on its later days. Boosted trees keep
+    them missing; MLlib's learners do not take any. A column without any training value stays
+    missing, and ``predict`` then fails.
     """
     means = train.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
     return df.fillna({c: m for c, m in means.items() if m is not None})
@@ -66,23 +62,6 @@ def fit_forest(
     return forest.fit(assemble(train.filter(F.col(LABEL).isNotNull()), columns))
 
 
-def fit_boosted(
-    train: DataFrame, columns: Sequence[str], trees: int = 1500, rate: float = 0.1, depth: int = 5, seed: int = 42
-) -> Model:
-    """Boosted trees with 0.8 row and column sampling, squared loss."""
-    boosted = GBTRegressor(
-        labelCol=LABEL, maxIter=trees, stepSize=rate, maxDepth=depth, subsamplingRate=0.8,
-        featureSubsetStrategy="0.8", seed=seed,
-    )
-    return boosted.fit(assemble(train.filter(F.col(LABEL).isNotNull()), columns))
-
-
-def best_tree_count(model: Model, held: DataFrame, columns: Sequence[str]) -> int:
-    """How many of a boosted model's trees do best on held-out rows: one scoring for all counts."""
-    errors = model.evaluateEachIteration(assemble(held.filter(F.col(LABEL).isNotNull()), columns), "squared")
-    return min(range(len(errors)), key=errors.__getitem__) + 1
-
-
 def _fit_iterative(glm: GeneralizedLinearRegression, train: DataFrame, columns: Sequence[str]) -> Model:
     """Every iteration reads the rows again, so their vectors are kept for the fit."""
     ready = assemble(train.filter(F.col(LABEL).isNotNull()), columns).select(LABEL, "features")
@@ -111,24 +90,3 @@ def importances(model: Model, columns: Sequence[str], train: DataFrame) -> DataF
     return train.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
-
-
-def forecast_per_store(
-    train: DataFrame, horizon: DataFrame, columns: Sequence[str], trees: int = 1500, rate: float = 0.075
-) -> DataFrame:
-    """One boosted model per store, each fitted on the cluster, a few at a time; results united."""
-    named = train.select("store_id").distinct().limit(STORE_LIMIT + 1).collect()
-    if len(named) > STORE_LIMIT:
-        raise ValueError(f"more than {STORE_LIMIT} stores: fit one model with the store as a feature")
-
-    def fit(store: str) -> DataFrame:
-        mine = F.col("store_id") == store
-        model = fit_boosted(train.filter(mine), columns, trees, rate)
-        return predict(model, horizon.filter(mine), columns)
-
-    with ThreadPool(FITS_AT_ONCE) as pool:
-        parts = pool.map(fit, sorted(row.store_id for row in named))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out

@@ -1,14 +1,9 @@
-"""Model queries, and for each a check that its forecast is whole and sound.
-
-The functions below take the number of trees. The registered queries use ``FOREST_TREES`` and
-``BOOST_TREES``, which the environment variables of that name raise or lower; the learners'
-own defaults are the full sizes.
-"""
+"""Model queries, and for each a check that its result is whole and sound."""
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
-import os
 from collections.abc import Callable
 
 from pyspark.ml import Model
@@ -16,15 +11,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.columns import HORIZON, LABEL
-from shelfcast.operators import encode, filters, learners, rollup, windows
+from shelfcast.operators import boosting, encode, filters, learners, rollup, windows
 from shelfcast.plans import tables
 from shelfcast.queries import common
 from shelfcast.queries.common import query
 from shelfcast.session import written
 from shelfcast.sources.retail import Mart
 
-FOREST_TREES = int(os.environ.get("FOREST_TREES", "50"))
-BOOST_TREES = int(os.environ.get("BOOST_TREES", "20"))
+# Trees of the aggregate series' forests, and of the pooled forest of all series (README has their costs).
+FOREST_TREES = 1000
+POOLED_TREES = 50
+# The held-out error of all three boosted models rises well before so many steps without gain.
+PATIENCE = 10
+GLOBAL = boosting.Plan(patience=PATIENCE)
+PER_STORE = dataclasses.replace(GLOBAL, rate=0.075)
+TWEEDIE = boosting.Plan(power=1.1, patience=PATIENCE, depth=10, per_tree=True, min_rows=1, min_hessian=7.0)
 GROUP_KEYS = ["store_id", "dept_id"]
 
 # Training rows, horizon rows, feature columns.
@@ -84,8 +85,12 @@ def _label(mart: Mart, season: bool) -> Parts:
         return table.withColumnRenamed("store_id", "store_code").join(mart.series.select("id", "store_id"), "id")
 
     table = mart.table("season-model" if season else "label-model", make)
-    columns = learners.feature_columns(table)
-    train, future = filters.train_rows(table, mart.cutoff), filters.eval_rows(table, mart.cutoff)
+    return filters.train_rows(table, mart.cutoff), filters.eval_rows(table, mart.cutoff), learners.feature_columns(table)
+
+
+def _filled(parts: Parts) -> Parts:
+    """For learners that take no missing values."""
+    train, future, columns = parts
     return train, learners.fill_from_training(future, train, columns), columns
 
 
@@ -110,6 +115,22 @@ def _forecast(mart: Mart, name: str, parts: Parts, fit: Callable[[DataFrame, lis
     return mart.table(name, make)
 
 
+def _boosted(mart: Mart, name: str, parts: Parts, plan: boosting.Plan, segment: str | None = None) -> DataFrame:
+    """Horizon predictions of boosted trees, and those of the last known days, which only choose the number of trees."""
+
+    def make() -> DataFrame:
+        train, future, columns = parts
+        held = F.col("date") >= F.lit(mart.cutoff - dt.timedelta(days=HORIZON))
+        model = boosting.boost(train, columns, plan, held, segment)
+        keys = ["id", "date", "store_id"]
+        fitted = boosting.predict(model, train.filter(held), keys, segment).join(train.select("id", "date", LABEL), ["id", "date"])
+        mean = train.agg(F.avg(LABEL)).first()[0]
+        ahead = boosting.predict(model, future, keys, segment).withColumn("part", F.lit("horizon"))
+        return ahead.unionByName(fitted.withColumns({"part": F.lit("known"), "mean": F.lit(mean)}), allowMissingColumns=True)
+
+    return mart.table(name, make)
+
+
 def _ahead(table: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
     rows = table.filter("part = 'horizon'").drop("part", "mean", LABEL)
     return windows.horizon_index(rows, keys=keys)
@@ -118,37 +139,38 @@ def _ahead(table: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
 def _sound(name: str, table: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """One row: how many series and rows a forecast has, and whether it is whole and sound."""
     ahead, known = F.col("part") == "horizon", F.col("part") == "known"
-    per_key = table.groupBy(*keys).agg(F.count(F.when(ahead, 1)).alias("n"))
-    count = per_key.agg(F.count("*").alias("n_ids"), F.sum("n").alias("n_rows"), (F.min("n") == F.max("n")).alias("even_rows"))
-    error = lambda c: F.avg(F.when(known, (F.col(LABEL) - F.col(c)) * (F.col(LABEL) - F.col(c))))
-    facts = table.agg(
-        (F.count(F.when(ahead & F.col("pred").isNull(), 1)) == 0).alias("no_missing"),
-        (F.count(F.when(ahead & (F.col("pred") < 0), 1)) == 0).alias("none_negative"),
-        (error("pred") < error("mean")).alias("beats_mean"),
-    )
-    one = lambda df: df.withColumn("model", F.lit(name))
-    return one(count).join(one(facts), "model")
+    off = lambda c: F.sum(F.when(known, (F.col(LABEL) - F.col(c)) * (F.col(LABEL) - F.col(c))))
+    per_key = table.groupBy(*keys).agg(
+        F.count(F.when(ahead, 1)).alias("n"), F.count(F.when(ahead & F.col("pred").isNull(), 1)).alias("missing"),
+        F.count(F.when(ahead & (F.col("pred") < 0), 1)).alias("negative"), off("pred").alias("off_pred"), off("mean").alias("off_mean"),
+    )
+    return per_key.agg(
+        F.count("*").alias("n_ids"), F.sum("n").alias("n_rows"), (F.min("n") == F.max("n")).alias("even_rows"),
+        (F.sum("missing") == 0).alias("no_missing"), (F.sum("negative") == 0).alias("none_negative"),
+        (F.sum("off_pred") < F.sum("off_mean")).alias("beats_mean"),
+    ).withColumn("model", F.lit(name))
 
 
 def _models(mart: Mart) -> dict[str, Callable[[], DataFrame]]:
     """Each model's written predictions, by query name."""
-    forest = lambda share: lambda train, columns: learners.fit_forest(train, columns, FOREST_TREES, share=share)
+    forest = lambda share, trees: lambda train, columns: learners.fit_forest(train, columns, trees, share=share)
+    groups = forest("0.5", FOREST_TREES)
     return {
-        "rf_total_forecast": lambda: _forecast(mart, "rf-total", _total(mart), forest("0.5")),
-        "rf_store_dept_forecast": lambda: _forecast(mart, "rf-groups", _groups(mart), forest("0.5"), tuple(GROUP_KEYS)),
-        "rf_bottom_forecast": lambda: _forecast(mart, "rf-bottom", _series(mart), forest("sqrt")),
-        "gbm_global_forecast": lambda: _forecast(mart, "gbm-global", _label(mart, True), lambda t, c: _boosted(mart, t, c)),
-        "glm_poisson_forecast": lambda: _forecast(mart, "glm-poisson", _label(mart, True), learners.fit_poisson),
-        "glm_tweedie_forecast": lambda: _forecast(mart, "glm-tweedie", _label(mart, True), learners.fit_tweedie),
+        "rf_total_forecast": lambda: _forecast(mart, "rf-total", _total(mart), groups),
+        "rf_store_dept_forecast": lambda: _forecast(mart, "rf-groups", _groups(mart), groups, tuple(GROUP_KEYS)),
+        "rf_bottom_forecast": lambda: _forecast(mart, "rf-bottom", _series(mart), forest("sqrt", POOLED_TREES)),
+        "gbm_global_forecast": lambda: _boosted(mart, "gbm-global", _label(mart, True), GLOBAL),
+        "gbm_per_store_forecast": lambda: _boosted(mart, "gbm-stores", _lagged(mart), PER_STORE, "store_id"),
+        "gbm_tweedie_forecast": lambda: _boosted(mart, "gbm-tweedie", _lagged(mart), TWEEDIE),
+        "glm_poisson_forecast": lambda: _forecast(mart, "glm-poisson", _filled(_label(mart, True)), learners.fit_poisson),
+        "glm_tweedie_forecast": lambda: _forecast(mart, "glm-tweedie", _filled(_label(mart, True)), learners.fit_tweedie),
     }
 
 
-def _boosted(mart: Mart, train: DataFrame, columns: list[str], trees: int = BOOST_TREES) -> Model:
-    """Boosted trees, as many as do best on the last 28 known days, fitted again on all rows."""
-    start = mart.cutoff - dt.timedelta(days=HORIZON)
-    tried = learners.fit_boosted(filters.train_rows(train, start), columns, trees)
-    best = learners.best_tree_count(tried, filters.from_date(train, start), columns)
-    return learners.fit_boosted(train, columns, best)
+def _lagged(mart: Mart) -> Parts:
+    """Label-encoded rows with lags: complete rows to learn from, horizon rows as they are."""
+    train, future, columns = _label(mart, False)
+    return filters.complete_rows(train), future, columns
 
 
 @query
@@ -169,20 +191,31 @@ def rf_bottom_forecast(mart: Mart) -> DataFrame:
 
 @query
 def feature_importance(mart: Mart) -> DataFrame:
-    train, _, columns = _series(mart)
-    return learners.importances(learners.fit_forest(train, columns, FOREST_TREES, share="sqrt"), columns, train)
+    """Impurity importances of the pooled forest, written once."""
+
+    def make() -> DataFrame:
+        train, _, columns = _series(mart)
+        return learners.importances(learners.fit_forest(train, columns, POOLED_TREES, share="sqrt"), columns, train)
+
+    return mart.table("rf-importance", make)
 
 
 @query
 def gbm_global_forecast(mart: Mart) -> DataFrame:
+    """Poisson boosted trees on the season's rows."""
     return _ahead(_models(mart)["gbm_global_forecast"]())
 
 
 @query
 def gbm_per_store_forecast(mart: Mart) -> DataFrame:
-    train, future, columns = _label(mart, False)
-    forecast = learners.forecast_per_store(filters.complete_rows(train), future, columns, trees=BOOST_TREES)
-    return windows.horizon_index(forecast)
+    """Poisson boosted trees with lags, one model per store, all stores grown in the same jobs."""
+    return _ahead(_models(mart)["gbm_per_store_forecast"]())
+
+
+@query
+def gbm_tweedie_forecast(mart: Mart) -> DataFrame:
+    """Deep boosted trees under the Tweedie loss of power 1.1, with lags."""
+    return _ahead(_models(mart)["gbm_tweedie_forecast"]())
 
 
 @query
@@ -197,10 +230,15 @@ def glm_tweedie_forecast(mart: Mart) -> DataFrame:
 
 @query
 def fitted_vs_actual(mart: Mart) -> DataFrame:
-    train, _, columns = _total(mart)
-    model = learners.fit_forest(train, columns, FOREST_TREES, share="0.5")
-    fitted = learners.predict(model, train, columns, "fcast")
-    return train.select("date", LABEL).join(fitted.select("date", "fcast"), "date")
+    """In-sample fit of the total series' forest, written once."""
+
+    def make() -> DataFrame:
+        train, _, columns = _total(mart)
+        model = learners.fit_forest(train, columns, FOREST_TREES, share="0.5")
+        fitted = learners.predict(model, train, columns, "fcast")
+        return train.select("date", LABEL).join(fitted.select("date", "fcast"), "date")
+
+    return mart.table("rf-fitted", make)
 
 
 # -- checks -------------------------------------------------------------------
@@ -224,6 +262,51 @@ def check_gbm_global(mart: Mart) -> DataFrame:
     return _sound("gbm_global_forecast", _models(mart)["gbm_global_forecast"]())
 
 
+@query
+def check_gbm_per_store(mart: Mart) -> DataFrame:
+    return _sound("gbm_per_store_forecast", _models(mart)["gbm_per_store_forecast"]())
+
+
+@query
+def check_gbm_tweedie(mart: Mart) -> DataFrame:
+    return _sound("gbm_tweedie_forecast", _models(mart)["gbm_tweedie_forecast"]())
+
+
+SPLIT_COLUMNS = ["weekday", "monthday", "month", "quarter", "dept_id", "store_code"]
+
+
+@query
+def check_first_split(mart: Mart) -> DataFrame:
+    """The first split of a Poisson model by features of few values, whose bins are the values themselves."""
+    train, _, _ = _label(mart, False)
+    plan = boosting.Plan(rows=1.0, columns=1.0)
+    split = boosting.first_split(train, SPLIT_COLUMNS, plan)
+    names = F.array(*map(F.lit, SPLIT_COLUMNS))
+    return split.select(
+        F.get(names, "feature").alias("feature"), "bin", F.col("n").alias("n_rows"), F.round("gain", 2).alias("gain")
+    )
+
+
+@query
+def check_feature_importance(mart: Mart) -> DataFrame:
+    """One row: whether importances are named once each, none negative, largest first, and add up to one."""
+    rows = feature_importance(mart)
+    return rows.agg(
+        (F.count("*") == F.count_distinct("feature")).alias("named_once"), (F.min("importance") >= 0).alias("none_negative"),
+        (F.round(F.sum("importance"), 6) == 1).alias("add_up"), (F.max("importance") > 2 / F.count("*")).alias("some_stand_out"),
+    )
+
+
+@query
+def check_fitted_vs_actual(mart: Mart) -> DataFrame:
+    """One row: days and their total demand, and whether the fit leaves less than half of the variance."""
+    off = F.avg((F.col(LABEL) - F.col("fcast")) * (F.col(LABEL) - F.col("fcast")))
+    return fitted_vs_actual(mart).agg(
+        F.count("*").alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+        F.sum(LABEL).cast("bigint").alias("total"), (off < F.var_pop(LABEL) / 2).alias("fits"),
+    )
+
+
 @query
 def check_glm_poisson(mart: Mart) -> DataFrame:
     return _sound("glm_poisson_forecast", _models(mart)["glm_poisson_forecast"]())

@@ -3,10 +3,6 @@ import sys
 
 import pytest
 
-# Fewer trees than the registered queries take, read when their module is imported.
-os.environ.setdefault("FOREST_TREES", "20")
-os.environ.setdefault("BOOST_TREES", "6")
-
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 

@@ -27,7 +27,6 @@ def table(spark):
 
 FITS = {
     "forest": lambda t, c: learners.fit_forest(t, c, trees=8, depth=6, share="0.5"),
-    "boosted": lambda t, c: learners.fit_boosted(t, c, trees=8),
     "poisson": learners.fit_poisson,
     "tweedie": learners.fit_tweedie,
 }
@@ -48,30 +47,12 @@ def test_model_beats_the_mean(table, name):
     assert rmse(F.col("pred")) < rmse(F.lit(mean))
 
 
-def test_per_store_forecast_covers_every_store(table):
-    cutoff = F.lit(START + dt.timedelta(days=172))
-    train, horizon = table.filter(F.col("date") < cutoff), table.filter(F.col("date") >= cutoff).drop("Value")
-    out = learners.forecast_per_store(train, horizon, ["code", "weekday", "weekend"], trees=3)
-    assert out.count() == 112 and out.select("store_id").distinct().count() == 2
-
-
 def test_importances(table):
     columns = ["code", "weekday", "weekend"]
     rows = learners.importances(learners.fit_forest(table, columns, trees=5, depth=4), columns, table).collect()
     assert {r.feature for r in rows} == set(columns) and sum(r.importance for r in rows) == pytest.approx(1.0)
 
 
-def test_missing_short_lags_still_get_a_prediction(table):
-    cutoff = F.lit(START + dt.timedelta(days=172))
-    lagged = table.withColumn("rmean_7_7", F.col("Value") * 1.0)
-    train = lagged.filter(F.col("date") < cutoff)
-    horizon = lagged.filter(F.col("date") >= cutoff).drop("Value").withColumn("rmean_7_7", F.lit(None).cast("double"))
-    columns = ["code", "weekday", "rmean_7_7"]
-    filled = learners.fill_from_training(horizon, train, columns)
-    out = learners.forecast_per_store(train, filled, columns, trees=3)
-    assert out.count() == 112 and out.filter("pred IS NULL").count() == 0
-
-
 def test_label_table_model_covers_the_horizon(spark, sf_dir):
     out = REGISTRY["glm_poisson_forecast"](spark, sf_dir).persist()
     assert {r["count"] for r in out.groupBy("id").count().collect()} == {28}
@@ -85,16 +66,6 @@ def test_a_missing_feature_fails_instead_of_losing_a_row(table):
         learners.predict(model, table.withColumn("weekday", F.lit(None).cast("int")), columns).collect()
 
 
-def test_best_tree_count_is_the_best_of_all_counts(table):
-    cutoff = F.lit(START + dt.timedelta(days=150))
-    train, held = table.filter(F.col("date") < cutoff), table.filter(F.col("date") >= cutoff)
-    columns = ["code", "weekday", "weekend"]
-    model = learners.fit_boosted(train, columns, trees=6)
-    best = learners.best_tree_count(model, held, columns)
-    errors = model.evaluateEachIteration(learners.assemble(held, columns), "squared")
-    assert errors[best - 1] == min(errors) and 1 <= best <= 6
-
-
 def test_item_search_does_not_cancel(spark):
     from shelfcast.operators import blend
 
@@ -106,7 +77,7 @@ def test_item_search_does_not_cancel(spark):
     assert got[1.0] == pytest.approx(wanted, rel=1e-6)
 
 
-@pytest.mark.parametrize("name", ["gbm_per_store_forecast", "rf_bottom_forecast", "rf_store_dept_forecast", "topdown_forest"])
+@pytest.mark.parametrize("name", ["gbm_global_forecast", "gbm_per_store_forecast", "gbm_tweedie_forecast", "rf_bottom_forecast", "rf_store_dept_forecast", "topdown_forest"])
 def test_model_queries_cover_the_horizon(name, spark, sf_dir):
     out = REGISTRY[name](spark, sf_dir).persist()
     keys = ["store_id", "dept_id"] if name == "rf_store_dept_forecast" else ["id"]
