@@ -370,7 +370,7 @@ SPLIT_BY = ["weekday", "monthday", "month", "quarter", "dept_id", "store_id"]
 POISSON_FALL = "CASE WHEN {b} <= 0 THEN 0 WHEN {a} <= 0 THEN {b} ELSE {a} * ln({a} / {b}) - {a} + {b} END"
 FALLS = [POISSON_FALL.format(a=a, b=b) for a, b in (("la", "lb"), ("(ta - la)", "(tb - lb)"), ("ta", "tb"))]
 CHECKS["check_first_split"] = f"""
-    WITH t AS (SELECT * FROM ({CHECKS["assemble_label_encoded_table"]}) WHERE date < {CUTOFF} AND "Value" IS NOT NULL),
+    SELECT * FROM (WITH t AS MATERIALIZED (SELECT * FROM ({CHECKS["assemble_label_encoded_table"]}) WHERE date < {CUTOFF} AND "Value" IS NOT NULL),
     m AS (SELECT round(avg("Value"::DOUBLE) * 1048576) / 1048576 AS b FROM t),
     v AS ({" UNION ALL ".join(f"SELECT {k} AS k, '{c}' AS feature, {c} AS x, count(*) AS n, sum(\"Value\")::DOUBLE AS a FROM t GROUP BY {c}" for k, c in enumerate(SPLIT_BY))}),
     c AS (
@@ -380,4 +380,4 @@ CHECKS["check_first_split"] = f"""
     g AS (SELECT *, b * ln_ AS lb, b * tn AS tb FROM c, m WHERE ln_ >= 10 AND tn - ln_ >= 10)
     SELECT CASE WHEN feature = 'store_id' THEN 'store_code' ELSE feature END AS feature, CAST(bin AS INTEGER) AS bin,
            CAST(tn AS BIGINT) AS n_rows, round({FALLS[0]} + {FALLS[1]} - ({FALLS[2]}), 2) AS gain
-    FROM g ORDER BY {FALLS[0]} + {FALLS[1]} DESC, k, bin LIMIT 1"""
+    FROM g ORDER BY {FALLS[0]} + {FALLS[1]} DESC, k, bin LIMIT 1)"""
