@@ -114,8 +114,8 @@ def test_simhash_groups(docs):
     assert sorted(x for x in ids if x is not None) == sorted(set(least.values())) and ids.count(None) == 2
 
 
-@pytest.mark.parametrize("shard", [4096, 40])
-def test_links_of_dense_shards(spark, monkeypatch, shard):
+@pytest.mark.parametrize("shard, agree", [(4096, None), (40, 1), (40, 2), (4, 3), (1, None)])
+def test_links_of_dense_shards(spark, monkeypatch, shard, agree):
     """Chains and balls of fingerprints, also when shards are dealt into chunks."""
     monkeypatch.setattr(simhash, "SHARD", shard)
     rng = np.random.default_rng(3)
@@ -129,7 +129,7 @@ def test_links_of_dense_shards(spark, monkeypatch, shard):
     prints = sorted(prints)
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     table = spark.createDataFrame([(p,) for p in signed], "fp bigint")
-    links = simhash.links(table).collect()
+    links = simhash.links(table, agree=agree).collect()
     index = {p: k for k, p in enumerate(signed)}
     mine = list(range(len(prints)))
     for r in links:
@@ -140,6 +140,20 @@ def test_links_of_dense_shards(spark, monkeypatch, shard):
     assert len(set(zip(mine, group))) == len(set(mine)) == len(set(group))
 
 
+def test_shards_agree_on_more_bits_as_fingerprints_grow():
+    assert [simhash._agreeing(n, 3) for n in (0, 10**6, 10**8, 10**9, 5 * 10**10, 10**15)] == [1, 1, 1, 2, 2, 3]
+
+
+def test_two_texts_of_one_id_are_two_documents(spark):
+    given = [(1, prose(1, 100), "a"), (1, prose(2, 100), "a"), (2, prose(2, 100), "a"), (3, prose(3, 100), "b"), (3, prose(3, 100), "b")]
+    table = documents(spark, given).withColumn("doc_key", F.lit("mine")).withColumn("_first", F.lit(5)).withColumn("root", F.lit(6))
+    kept = simhash.keep_first(table)
+    assert kept.columns == table.columns
+    got = kept.collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(1, prose(1, 100)), (1, prose(2, 100)), (3, prose(3, 100))])
+    assert all((r.doc_key, r._first, r.root) == ("mine", 5, 6) for r in got)
+
+
 # -- decontamination ----------------------------------------------------------------------
 def test_decontamination_finds_substituted_passages(spark):
     item = prose(50, 40).replace("\n", " ").replace("\t", " ")
@@ -240,6 +254,18 @@ def test_mixing_targets_and_thresholds(spark):
     assert mixed.count() == sum(r.copies for r in got)
 
 
+def test_no_document_is_taken_above_the_cap_and_no_column_is_lost(spark):
+    given = [(k, "" if k % 2 else prose(k, 30), "ab"[k % 10 == 0]) for k in range(300)]
+    table = documents(spark, given).withColumn("_copy", F.lit("mine")).withColumn("copy", F.col("doc_id")).withColumn("last", F.lit(1))
+    recipe = mixing.Recipe((1, 50), 1.5, 2)
+    report = mixing.mixture(table, recipe=recipe).collect()
+    assert max(r.copies for r in report) == 2
+    mixed = mixing.mix(table, recipe=recipe)
+    assert mixed.columns == table.columns
+    got = mixed.collect()
+    assert len(got) == sum(r.copies for r in report) and all(r._copy == "mine" and r.copy == r.doc_id for r in got)
+
+
 def test_smaller_budgets_are_nested(spark):
     table = documents(spark, [(k, prose(k, 30), "ab"[k % 3 == 0]) for k in range(200)])
     taken = []
@@ -257,7 +283,8 @@ def test_token_files_round_trip(spark, docs, monkeypatch):
     got = token_output.read_tokens(spark, folder).collect()
     tokenizer = Tokenizer.from_file(WORD_FILE)
     place, start = {}, 0
-    for i, t, _ in sorted(rows(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    signed = lambda t: int(np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64))
+    for i, t, _ in sorted(rows(), key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1] or ""))):
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
         place[(i, start)] = (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids)
         start += len(ids)
@@ -387,7 +414,7 @@ def test_licences_are_told_apart(spark):
 
 
 def test_licences_are_found_where_ordinary_text_holds_their_words(spark):
-    told = sorted({w for f in licences.FAMILIES for n in licences.NOTICES[f] for run in licences._runs(n) for w in run.split()} - {"gnu", "redistributions"})
+    told = sorted({w for f in licences.FAMILIES for n in licences.NOTICES[f] for run in licences.notice_runs(n) for w in run.split()} - {"gnu", "redistributions"})
     line = lambda k: " ".join(told[(5 * k + j // 4) % len(told)] if j % 4 == 0 else f"w{(7 * k + j) % 300:x}" for j in range(20))
     given = [(100 + k, "\n".join(line(4 * k + j) for j in range(4)), "a") for k in range(120)]
     planted = {1: ("apache-2.0", "Licensed under the Apache License, Version 2.0."), 2: ("mit", "Released under the MIT License."), 3: ("proprietary", "All rights reserved.")}
@@ -396,6 +423,70 @@ def test_licences_are_found_where_ordinary_text_holds_their_words(spark):
     assert got == {(i, f) for i, (f, _) in planted.items()}
 
 
+@pytest.fixture(scope="module")
+def licence_docs(spark):
+    """Ordinary text with notices' words, notices, notices of other licences, and near misses."""
+    told = sorted({w for f in licences.FAMILIES for n in licences.NOTICES[f] for run in licences.notice_runs(n) for w in run.split()})
+    line = lambda k: " ".join(told[(5 * k + j // 4) % len(told)] if j % 4 == 0 else f"w{(7 * k + j) % 300:x}" for j in range(20))
+    given = [(1000 + k, ". ".join(line(6 * k + j).capitalize() for j in range(6)), "a") for k in range(150)]
+    others = [
+        "Licensed under the Mozilla Public License, version 2.0.", "Licensed under the EUPL.", "Licensed under the Artistic License 2.0.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    ]
+    given += [(2000 + k, line(k) + "\n" + n + "\n" + line(k + 3), "a") for k, n in enumerate(others)]
+    notices = [(f, n) for f in licences.FAMILIES for n in licences.NOTICES[f]]
+    notices += [("apache-2.0", "This file is licensed under Apache 2.0"), ("proprietary", "Copyright 2021 Some Body. All rights reserved.")]
+    given += [(3000 + k, line(k) + "\n" + n + "\n" + line(k + 5), "a") for k, (_, n) in enumerate(notices)]
+    return given, {3000 + k: f for k, (f, _) in enumerate(notices)}, {2000 + k for k in range(len(others))}
+
+
+def test_planted_notices_are_recalled_and_other_licences_not_confirmed(spark, licence_docs):
+    given, planted, others = licence_docs
+    got = licences.find_licences(documents(spark, given)).collect()
+    told = {(r.doc_id, r.family) for r in got}
+    right = [(i, f) in told for i, f in planted.items()]
+    assert sum(right) >= 0.9 * len(right)
+    assert not [x for x in told if x[0] in planted and x[1] not in (planted[x[0]], "unknown")]
+    assert not [x for x in told if x[0] in others and x[1] != "unknown"]
+    assert len({x[0] for x in told if x[0] in others}) >= 3
+    assert not [x for x in told if x[0] < 2000 and x[1] != "unknown"]
+
+
+def test_bound_leaves_out_nothing_that_counts(spark, licence_docs):
+    table = documents(spark, licence_docs[0] + rows())
+    model = licences.fit(table)
+    order = lambda found: sorted((key((r.doc_id, r.paragraph, r.family)), r.probability, r.similarity) for r in found.collect())
+    with_bound, without = (order(licences.find_licences(table, model, bounded=b)) for b in (True, False))
+    assert with_bound == without and len(without) > 20
+    # The bound does leave out most ordinary paragraphs.
+    tokens = table.select(F.explode(licences.paragraphs(F.col("text"))).alias("x")).select(licences.plain_words(F.col("x")).alias("tokens"))
+    assert model.score(tokens).count() < 0.7 * tokens.count()
+
+
+def test_licence_scores_are_those_of_the_model(spark, licence_docs):
+    """Each paragraph's classes recomputed from the weights in numpy."""
+    table = documents(spark, licence_docs[0][-30:])
+    model = licences.fit(table)
+    pieces = table.select("doc_id", F.posexplode(licences.paragraphs(F.col("text"))).alias("paragraph", "body"))
+    pieces = pieces.select("doc_id", "paragraph", licences.plain_words(F.col("body")).alias("tokens")).withColumn("found", licences.buckets(F.col("tokens")))
+    wanted = {}
+    for r in pieces.collect():
+        margins = model.weights[:, sorted(set(r.found))].sum(1) + model.intercepts
+        p = np.exp(margins - margins.max())
+        p /= p.sum()
+        best = p[: len(licences.FAMILIES)].max()
+        if r.tokens and (best >= model.threshold or p[licences.NONE] < 0.5):
+            wanted[r.doc_id, r.paragraph] = best
+    got = {(r.doc_id, r.paragraph): r.probability for r in licences.find_licences(table, model).collect()}
+    assert got == pytest.approx(wanted)
+
+
+def test_licence_sample_is_the_same_each_time(spark, licence_docs):
+    table = documents(spark, [(None, t, s) for _, t, s in licence_docs[0]])
+    first, again = licences.fit(table), licences.fit(table.repartition(7, "text"))
+    assert np.allclose(first.weights, again.weights, atol=1e-6) and first.threshold == pytest.approx(again.threshold)
+
+
 # -- token counts -------------------------------------------------------------------------
 def test_token_counts(docs):
     tokenizer = Tokenizer.from_file(BYTE_FILE)
