@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.text import GAP, whole
+from shelfcast.llm.text import unused, whole
 from shelfcast.session import small_side, written
 
 PLACE_BITS = 60
@@ -117,8 +117,9 @@ def thresholds(sizes: DataFrame, recipe: Recipe = PRODUCTION) -> DataFrame:
     return written(joined.withColumn("last", F.coalesce("last", F.lit(-1))), "mix-thresholds")
 
 
-def _copies(limits: DataFrame, doc_place: Column) -> Column:
-    return limits["full"] + (doc_place <= limits["last"]).cast("bigint")
+def _copies(limits: DataFrame, doc_place: Column, recipe: Recipe) -> Column:
+    """How often a document is taken, at most ``repeats`` times."""
+    return F.least(limits["full"] + (doc_place <= limits["last"]).cast("bigint"), F.lit(recipe.repeats).cast("bigint"))
 
 
 def mixture(docs: DataFrame, source: str = "source", recipe: Recipe = PRODUCTION) -> DataFrame:
@@ -126,7 +127,7 @@ def mixture(docs: DataFrame, source: str = "source", recipe: Recipe = PRODUCTION
     sizes = written(measured(docs, source), "mix-sizes")
     limits = thresholds(sizes, recipe)
     rows = sizes.join(small_side(limits, SOURCE_LIMIT), sizes["source"].eqNullSafe(limits["source"]))
-    copies = _copies(limits, sizes["place"])
+    copies = _copies(limits, sizes["place"], recipe)
     return rows.select(
         "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
@@ -137,5 +138,6 @@ def mix(docs: DataFrame, source: str = "source", recipe: Recipe = PRODUCTION) ->
     sizes = written(measured(docs, source), "mix-sizes")
     limits = thresholds(sizes, recipe)
     rows = docs.join(small_side(limits, SOURCE_LIMIT), docs[source].eqNullSafe(limits["source"]))
-    times = F.explode(F.array_repeat(F.lit(0), _copies(limits, place(docs["doc_id"])).cast("int")))
-    return rows.select(*[docs[c] for c in docs.columns], times.alias("_copy")).drop("_copy")
+    times = F.explode(F.array_repeat(F.lit(0), _copies(limits, place(docs["doc_id"]), recipe).cast("int")))
+    name = unused(docs, "copy")
+    return rows.select(*[docs[c] for c in docs.columns], times.alias(name)).drop(name)

@@ -3,9 +3,11 @@
 A document's fingerprint is the bitwise majority of the 64-bit hashes of its word shingles.
 Fingerprints within ``RADIUS`` differing bits are linked; groups are connected components.
 
-Search. Equal fingerprints collapse into one first. A fingerprint is then sent to one shard
-for each of its ``RADIUS + 1`` blocks of bits: two fingerprints within the radius agree on
-at least one block, so each link lies in some shard. A shard builds one BK-tree, whose
+Search. Equal fingerprints collapse into one first. A fingerprint's bits are cut into
+``RADIUS`` + e blocks and it is sent to one shard for each choice of e blocks: two fingerprints
+within the radius agree on at least e blocks, so each link lies in some shard. e grows with the
+counted fingerprints (1, then 2, then 3), so that shards stay near ``SHARD`` members: their bits
+in common grow from 16 to 24 and 30. A shard builds one BK-tree, whose
 children hang at the integer Hamming distance to their parent, and each of its fingerprints
 descends only along edges whose distance is within the radius of its own distance to the
 node. Shards with more than ``SHARD`` fingerprints are dealt into chunks: each tree holds
@@ -17,11 +19,13 @@ All trees of one batch are built and searched together, level by level, in numpy
 
 Defined cases: a null or empty text has fingerprint 0 and is linked like any other; fewer
 words than a shingle make one shingle; null ids get a component but never name one; repeated
-rows share a component; an empty table gives no rows. Only ``doc_id`` and ``text`` are read.
+rows share a component; rows of one id with different texts are documents of their own; an
+empty table gives no rows. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
+from shelfcast.llm.text import identity, unused
 from shelfcast.session import written
 
 SHINGLE = 3
@@ -73,15 +78,19 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fingerprints as signed 64-bit integers."""
+    """(doc_id, doc_key, fp): fingerprints as signed 64-bit integers; ``doc_key`` names id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(x.as_py(), shingle) for x in batch.column("body")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("doc_key"), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_key", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("body"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), identity(F.col("doc_id"), F.col("text")).alias("doc_key"),
+        F.col("text").cast("string").cast("binary").alias("body"),
+    )
+    return rows.mapInArrow(run, "doc_id bigint, doc_key bigint, fp bigint")
 
 
 class Trees:
@@ -198,13 +207,24 @@ def _links(rows: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBat
         yield out
 
 
-def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+def _agreeing(n: int, radius: int) -> int:
+    """On how many blocks the members of a shard agree, for ``n`` fingerprints."""
+    for agree in (1, 2):
+        width = BITS // (radius + agree)
+        if n >> (agree * width) <= SHARD:
+            return agree
+    return 3
+
+
+def links(prints: DataFrame, radius: int = RADIUS, agree: int | None = None) -> DataFrame:
     """(a, b): spanning links of distinct fingerprints ``fp`` within ``radius`` bits."""
-    step = BITS // (radius + 1)
-    widths = [step + (BITS % (radius + 1) if k == 0 else 0) for k in range(radius + 1)]
-    starts = [sum(widths[:k]) for k in range(radius + 1)]
+    agree = agree or _agreeing(prints.count(), radius)
+    n = radius + agree
+    widths = [BITS // n + (k < BITS % n) for k in range(n)]
+    starts = [sum(widths[:k]) for k in range(n)]
     block = lambda k: F.shiftrightunsigned("fp", starts[k]).bitwiseAND(F.lit((1 << widths[k]) - 1))
-    keys = F.array(*[F.xxhash64(F.lit(k), block(k)) for k in range(radius + 1)])
+    choices = enumerate(itertools.combinations(range(n), agree))
+    keys = F.array(*[F.xxhash64(F.lit(number), *map(block, chosen)) for number, chosen in choices])
     dealt = prints.select("fp", F.explode(keys).alias("key"))
     big = dealt.groupBy("key").count().filter(F.col("count") > SHARD)
     big = big.select("key", F.ceil(F.col("count") / SHARD).cast("int").alias("chunks"))
@@ -220,8 +240,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return rows.mapInArrow(lambda batches: _links(batches, radius), "a bigint, b bigint")
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id), one row per row of ``docs``."""
+def _grouped(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """(doc_id, doc_key, fp, root, component_id), one row per row of ``docs``; ``root`` names the component."""
     found = written(fingerprints(docs, shingle), "simhash-prints")
     firsts = written(found.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "simhash-distinct")
     tied = components(written(links(firsts.select("fp"), radius), "simhash-links"))
@@ -229,15 +249,24 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Dat
         "fp", "first_doc", F.coalesce("root", "fp").alias("root")
     )
     named = roots.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = roots.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return found.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = roots.select("fp", "root").join(named, "root")
+    return found.join(named, "fp").select("doc_id", "doc_key", "fp", "root", "component_id")
+
+
+def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fp, component_id), one row per row of ``docs``."""
+    return _grouped(docs, shingle, radius).select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each group, that with the smallest id, with its columns.
 
-    Documents without an id cannot stand for a group and are kept.
+    Of several texts of that id in one group the one with the smallest ``doc_key`` stays, of
+    repeated rows any one. Documents without an id cannot stand for a group and are kept.
     """
-    first = groups(docs, shingle, radius).select(F.col("component_id").alias("_first")).filter(F.col("_first").isNotNull()).distinct()
-    chosen = docs.join(first, docs["doc_id"] == F.col("_first"), "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.filter(docs["doc_id"].isNull()))
+    found = _grouped(docs, shingle, radius).filter(F.col("doc_id").isNotNull())
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "doc_key"))["doc_key"].alias("key"))
+    name = unused(docs, "doc_key")
+    keyed = docs.withColumn(name, identity(F.col("doc_id"), F.col("text")))
+    chosen = keyed.filter(F.col("doc_id").isNotNull()).join(first.select(F.col("key").alias(name)), name, "left_semi")
+    return chosen.dropDuplicates([name]).drop(name).unionByName(docs.filter(F.col("doc_id").isNull()))

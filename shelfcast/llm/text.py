@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: what separates words (blank, tab, line feed, vertical tab, form feed, return).
@@ -30,3 +30,11 @@ def identity(*columns: Column) -> Column:
     """A 64-bit key of some columns; a missing value is a value of its own."""
     marks = [F.concat(c.isNull().cast("string"), F.coalesce(c.cast("string"), F.lit(""))) for c in columns]
     return F.xxhash64(*marks)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

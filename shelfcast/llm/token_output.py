@@ -210,7 +210,9 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(part, row, doc_id, n, ids) of all documents in ascending id order."""
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body.alias("body"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "body")
+    # Rows of one id, such as none, may be many and are dealt by their text.
+    rows = rows.withColumn("text_key", F.xxhash64("body"))
+    rows = rows.repartitionByRange("doc_id", "text_key").sortWithinPartitions("doc_id", "text_key", "body")
     rows = rows.select(F.spark_partition_id().alias("part"), "doc_id", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
