@@ -357,7 +357,7 @@ def test_paths_of_trees_are_ranked(spark):
 
 # -- scoring ------------------------------------------------------------------------------
 def test_scores(spark, docs):
-    got = suffix_tree.score_documents(docs, share=2e-4).collect()
+    got = suffix_tree.score_documents(docs).collect()
     tokens = [(i, [*words(lower(t)), None], i is not None and zlib.crc32(str(i).encode()) % 7 == 2) for i, t, _ in rows()]
     count = Counter(x for _, w, held in tokens if not held for x in w)
     n, v = sum(count.values()), len(count)
@@ -370,6 +370,69 @@ def test_scores(spark, docs):
     assert all(r.score <= 0 for r in got)
 
 
+def brute_tree_scores(given, least, divergence):
+    """Scores by the docstring's rules with dictionaries."""
+    texts = [(i, [*words(lower(t)), ""]) for i, t, _ in given]
+    learn = [w for i, w in texts if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    count = Counter(x for w in learn for x in w)
+    n, kinds = sum(count.values()), len(count)
+    once, twice = (sum(c == k for c in count.values()) for k in (1, 2))
+    off = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
+    asked = max(least // 2, 1)
+    context = lambda w, k, d: tuple(["", *w][k + 1 - d : k + 1]) if k + 1 >= d else None
+    states = []
+
+    def chance(before, word):
+        p = (count[word] - off) / n if count[word] else off * kinds / n
+        for d, level in enumerate(states, 1):
+            if len(before) >= d and before[-d:] in level:
+                own, part = level[before[-d:]]
+                p = own.get(word, 0.0) + part * p
+        return p
+
+    sizes = {(x,): c for x, c in count.items() if c >= 2 * asked}
+    for d in range(1, suffix_tree.DEPTH + 1):
+        pairs = Counter((context(w, k, d), x) for w in learn for k, x in enumerate(w) if context(w, k, d) in sizes)
+        pairs = {p: c for p, c in pairs.items() if c >= asked}
+        level = {}
+        for c, size in sizes.items():
+            after = {x: m for (y, x), m in pairs.items() if y == c}
+            below = {x: chance(c[1:], x) for x in after}
+            rest, rest_below = max(1 - sum(after.values()) / size, 1e-9), max(1 - sum(below.values()), 1e-9)
+            gain = sum(m / size * math.log(m / size / below[x]) for x, m in after.items()) + rest * math.log(rest / rest_below)
+            if gain >= divergence:
+                own = {x: (m - off) / size for x, m in after.items()}
+                level[c] = (own, 1 - sum(own.values()))
+        states.append(level)
+        sizes = {(*c, x): m for (c, x), m in pairs.items() if m >= 2 * asked and x != ""}
+    return [(i, round(sum(math.log10(chance(tuple(["", *w][: k + 1]), x)) for k, x in enumerate(w)), 6)) for i, w in texts]
+
+
+@pytest.mark.parametrize("least", [4, 10])
+def test_scores_are_those_of_a_brute_force_tree(spark, monkeypatch, least):
+    # Blocks of a few rows, batches and slices that end inside a block, and one long text.
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(suffix_tree, "SLICE_BYTES", 1000)
+    rng = np.random.default_rng(7)
+    given = rows()
+    for k in range(200):
+        at, text = 0, []
+        for _ in range(4000 if k == 50 else int(rng.integers(0, 60))):
+            at = (at * 5 + int(rng.integers(0, 3))) % 37
+            text.append(f"{'wW'[at % 2]}{at}")
+        given.append((100 + k, " ".join(text), "a"))
+    got = suffix_tree.score_documents(documents(spark, given), least=least).collect()
+    mine = sorted(key((r.doc_id, round(r.score, 5))) for r in got)
+    wanted = sorted(key((i, round(x, 5))) for i, x in brute_tree_scores(given, least, suffix_tree.MIN_DIVERGENCE))
+    assert [m[0] for m in mine] == [w[0] for w in wanted]
+    assert all(abs(m[1][1] - w[1][1]) < 1e-4 for m, w in zip(mine, wanted))
+
+
+def test_counts_asked_for_double_until_the_tree_fits(spark, monkeypatch):
+    table = spark.createDataFrame([(k, k) for k in range(100)], "name bigint, n bigint")
+    assert suffix_tree._fitting(table, 5, 1000) == 5 and suffix_tree._fitting(table, 5, 25) == 80
+
+
 def test_tree_prefers_text_like_its_own_and_sums_to_one(spark):
     rng = np.random.default_rng(2)
     given = []
