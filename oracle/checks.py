@@ -148,9 +148,10 @@ EVAL_EXPORT = f'SELECT * EXCLUDE (date) FROM ({CHECKS["assemble_future_table"]})
 CHECKS["scan_prefix_union"] = f"SELECT * EXCLUDE (store_id) FROM ({TRAIN_EXPORT})"
 CHECKS["sink_by_store"] = CHECKS["sink_by_store_dept"] = TRAIN_EXPORT
 CHECKS["sink_train_eval_meta"] = f"""
-    SELECT 'train' AS part, * FROM ({TRAIN_EXPORT}) UNION ALL BY NAME SELECT 'eval' AS part, * FROM ({EVAL_EXPORT})
-    UNION ALL BY NAME
-    SELECT 'eval_meta' AS part, CAST(date AS VARCHAR) AS date, id, store_id FROM ({CHECKS["assemble_future_table"]})"""
+    SELECT * FROM (
+        WITH ahead AS MATERIALIZED ({CHECKS["assemble_future_table"]})
+        SELECT 'train' AS part, * FROM ({TRAIN_EXPORT}) UNION ALL BY NAME SELECT 'eval' AS part, * EXCLUDE (date) FROM ahead
+        UNION ALL BY NAME SELECT 'eval_meta' AS part, CAST(date AS VARCHAR) AS date, id, store_id FROM ahead)"""
 CHECKS["assemble_future_table_sliced"] = (
     CHECKS["assemble_future_table"]
     .replace("JOIN series_days sd", "JOIN series_days_future sd")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import Model
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +47,8 @@ def fill_from_training(df: DataFrame, train: DataFrame, columns: Sequence[str])
 
 def predict(model: Model, df: DataFrame, columns: Sequence[str], name: str = "pred") -> DataFrame:
     """Predictions beside the keys, one for every row, negatives clipped to 0."""
-    scored = model.transform(assemble_all(df, columns))
+    # A pipeline makes its own vectors.
+    scored = model.transform(df if isinstance(model, PipelineModel) else assemble_all(df, columns))
     keys = [k for k in KEYS if k in df.columns]
     return scored.select(*keys, clip_nonnegative(F.col("prediction")).alias(name))
 
@@ -62,26 +63,36 @@ def fit_forest(
     return forest.fit(assemble(train.filter(F.col(LABEL).isNotNull()), columns))
 
 
-def _fit_iterative(glm: GeneralizedLinearRegression, train: DataFrame, columns: Sequence[str]) -> Model:
-    """Every iteration reads the rows again, so their vectors are kept for the fit."""
-    ready = assemble(train.filter(F.col(LABEL).isNotNull()), columns).select(LABEL, "features")
+def _fit_linear(glm: GeneralizedLinearRegression, train: DataFrame, columns: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
+    """A linear model whose ``categorical`` columns become sparse indicators, one a code and one for codes not seen.
+
+    Every iteration reads the rows again, so their vectors are kept for the fit.
+    """
+    known = train.filter(F.col(LABEL).isNotNull()).na.drop(subset=list(columns))
+    plain = [c for c in columns if c not in categorical]
+    hot = [f"{c}_hot" for c in categorical]
+    stages = [VectorAssembler(inputCols=[*plain, *hot], outputCol="features", handleInvalid="error")]
+    if categorical:
+        stages.insert(0, OneHotEncoder(inputCols=list(categorical), outputCols=hot, handleInvalid="keep", dropLast=False))
+    ready_model = Pipeline(stages=stages).fit(known)
+    ready = ready_model.transform(known).select(LABEL, "features")
     ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return glm.fit(ready)
+        return PipelineModel([*ready_model.stages, glm.fit(ready)])
     finally:
         ready.unpersist()
 
 
-def fit_poisson(train: DataFrame, columns: Sequence[str]) -> Model:
+def fit_poisson(train: DataFrame, columns: Sequence[str], categorical: Sequence[str] = ()) -> PipelineModel:
     glm = GeneralizedLinearRegression(labelCol=LABEL, family="poisson", link="log", maxIter=25, regParam=0.01)
-    return _fit_iterative(glm, train, columns)
+    return _fit_linear(glm, train, columns, categorical)
 
 
-def fit_tweedie(train: DataFrame, columns: Sequence[str], power: float = 1.1) -> Model:
+def fit_tweedie(train: DataFrame, columns: Sequence[str], categorical: Sequence[str] = (), power: float = 1.1) -> PipelineModel:
     glm = GeneralizedLinearRegression(
         labelCol=LABEL, family="tweedie", variancePower=power, linkPower=0.0, maxIter=25, regParam=0.01
     )
-    return _fit_iterative(glm, train, columns)
+    return _fit_linear(glm, train, columns, categorical)
 
 
 def importances(model: Model, columns: Sequence[str], train: DataFrame) -> DataFrame:

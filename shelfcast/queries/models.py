@@ -15,7 +15,7 @@ from shelfcast.operators import boosting, encode, filters, learners, rollup, win
 from shelfcast.plans import tables
 from shelfcast.queries import common
 from shelfcast.queries.common import query
-from shelfcast.session import written
+from shelfcast.session import fits, written
 from shelfcast.sources.retail import Mart
 
 # Trees of the aggregate series' forests, and of the pooled forest of all series (README has their costs).
@@ -162,11 +162,25 @@ def _models(mart: Mart) -> dict[str, Callable[[], DataFrame]]:
         "gbm_global_forecast": lambda: _boosted(mart, "gbm-global", _label(mart, True), GLOBAL),
         "gbm_per_store_forecast": lambda: _boosted(mart, "gbm-stores", _lagged(mart), PER_STORE, "store_id"),
         "gbm_tweedie_forecast": lambda: _boosted(mart, "gbm-tweedie", _lagged(mart), TWEEDIE),
-        "glm_poisson_forecast": lambda: _forecast(mart, "glm-poisson", _filled(_label(mart, True)), learners.fit_poisson),
-        "glm_tweedie_forecast": lambda: _forecast(mart, "glm-tweedie", _filled(_label(mart, True)), learners.fit_tweedie),
+        "glm_poisson_forecast": lambda: _forecast(mart, "glm-poisson", _filled(_label(mart, True)), _linear(learners.fit_poisson)),
+        "glm_tweedie_forecast": lambda: _forecast(mart, "glm-tweedie", _filled(_label(mart, True)), _linear(learners.fit_tweedie)),
     }
 
 
+# Codes without an order. MLlib solves normal equations of at most 4096 columns, so items are
+# indicators only up to ``HOT_LIMIT`` of them; beyond that departments stand for them.
+HOT_COLUMNS = ["item_id", "dept_id", "cat_id", "store_code", "state_id", "weekday", "weekmonth", "month", "quarter"]
+HOT_LIMIT = 2000
+
+
+def _linear(fit: Callable[..., Model]) -> Callable[[DataFrame, list[str]], Model]:
+    def run(train: DataFrame, columns: list[str]) -> Model:
+        few = fits(train.select("item_id").distinct(), HOT_LIMIT)
+        return fit(train, columns, [c for c in HOT_COLUMNS if c in columns and (few or c != "item_id")])
+
+    return run
+
+
 def _lagged(mart: Mart) -> Parts:
     """Label-encoded rows with lags: complete rows to learn from, horizon rows as they are."""
     train, future, columns = _label(mart, False)

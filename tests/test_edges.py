@@ -256,3 +256,26 @@ def test_columns_by_pattern_range_and_table(spark):
 def test_ties_in_top_series_break_by_key(spark):
     stats = spark.createDataFrame([("b", 2.0), ("a", 2.0), ("c", 1.0)], "id string, mean_v double")
     assert [r.id for r in rollup.top_series(stats, 2).collect()] == ["a", "b"]
+
+
+@pytest.mark.parametrize("file_rows", [50, 1000])
+def test_clustered_writes_bound_their_files(spark, tmp_path, file_rows):
+    """One key holds most rows; another is missing; no task opens a file per key."""
+    rows = [(f"s{i % 7}" if i % 10 == 0 else ("hot" if i % 3 else None), "d", i, float(i)) for i in range(3000)]
+    table = spark.createDataFrame(rows, "store_id string, dept_id string, part_of_row int, Value double").repartition(8)
+    path = str(tmp_path / "out")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # it would merge so few rows into one task
+    try:
+        sinks.write_by(table, path, ["store_id", "dept_id"], header=True, file_rows=file_rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    counts = {r["store_id"]: r["count"] for r in table.groupBy("store_id").count().collect()}
+    found = list((tmp_path / "out").rglob("*.csv"))
+    assert len(found) <= 2 * sum(-(-n // file_rows) for n in counts.values())
+    assert all(len(f.read_text().splitlines()) <= file_rows + 1 for f in found)
+    back = spark.read.csv(path, header=True, schema="part_of_row int, Value double, store_id string, dept_id string")
+    order = lambda df: sorted((r["part_of_row"], r["store_id"] or "", r["Value"]) for r in df.collect())
+    assert order(back) == order(table)
+    # The hot key is written by several tasks where it fills several files.
+    hot = [f for f in found if "store_id=hot" in str(f)]
+    assert len({f.name.split("-")[1] for f in hot}) >= (2 if file_rows == 50 else 1)

@@ -47,6 +47,30 @@ def test_model_beats_the_mean(table, name):
     assert rmse(F.col("pred")) < rmse(F.lit(mean))
 
 
+def deviance(out):
+    """Mean Poisson deviance of predictions beside their labels."""
+    mean, y = F.greatest("pred", F.lit(1e-9)), F.col("Value")
+    return out.agg(F.avg(2 * (F.when(y > 0, y * F.log(y / mean)).otherwise(0) - y + mean))).first()[0]
+
+
+def test_indicators_fit_codes_better_than_numbers(mart):
+    """Poisson model of the season's rows with and without indicators; README has the held-out figures of a larger table."""
+    from shelfcast.queries import models
+
+    rows, _, columns = models._label(mart, True)
+    hot, plain = models._linear(learners.fit_poisson)(rows, columns), learners.fit_poisson(rows, columns)
+    found = [deviance(learners.predict(m, rows, columns).join(rows.select("id", "date", "Value"), ["id", "date"])) for m in (hot, plain)]
+    assert found[0] < found[1]
+
+
+def test_a_code_not_seen_gets_a_prediction(table):
+    model = learners.fit_poisson(table, ["code", "weekday"], ["code", "weekday"])
+    out = learners.predict(model, table.withColumn("code", F.lit(77)), ["code", "weekday"])
+    assert out.count() == table.count() and out.filter("pred IS NULL").count() == 0
+    features = model.transform(table.limit(1)).first()["features"]
+    assert features.size == 4 + 7 + 2 and len(features.indices) == 2  # sparse, with a place for unseen codes
+
+
 def test_importances(table):
     columns = ["code", "weekday", "weekend"]
     rows = learners.importances(learners.fit_forest(table, columns, trees=5, depth=4), columns, table).collect()
