@@ -49,6 +49,7 @@ UNIT = 1 << 20
 LEAF_LIMIT = 8.0
 SEGMENTS = 1000
 CELL_LIMIT = 500_000
+ONE_TASK_CELLS = 100_000
 TASK_ROWS = 250_000
 
 
@@ -350,8 +351,9 @@ def _grow(rows: DataFrame, model: Boosted, pending: list[Tree], step: int, activ
     errors: dict[int, tuple] = {}
     for level in range(plan.depth):
         cells = _cells(rows, model, pending, tree, level, step, active)
-        if model.tasks == 1:
-            cells = cells.coalesce(1)  # One task's cells need no shuffle to be added up.
+        most = len(model.segments) * len(model.columns) * (2 + max(map(len, model.borders))) << level
+        if model.tasks == 1 and most <= ONE_TASK_CELLS:
+            cells = cells.coalesce(1)  # One task's few cells need no shuffle to be added up.
         found = best_splits(cells, plan, categorical).collect()
         if level == 0:
             # The errors ride along as a node of their own.

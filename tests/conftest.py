@@ -1,3 +1,4 @@
+import dataclasses
 import os
 import sys
 
@@ -6,8 +7,15 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from shelfcast.queries import models  # noqa: E402
 from shelfcast.session import build_session  # noqa: E402
 
+# The tests fit smaller models than the registered queries.
+models.FOREST_TREES, models.POOLED_TREES = 60, 20
+models.GLOBAL = dataclasses.replace(models.GLOBAL, steps=6)
+models.PER_STORE = dataclasses.replace(models.PER_STORE, steps=6)
+models.TWEEDIE = dataclasses.replace(models.TWEEDIE, steps=3, depth=5)
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
