@@ -17,8 +17,8 @@ rows, A and B over (segment, node, feature, bin) gives the exact fall of every s
 - **Segments** are models of their own, such as one per store, that grow in the same jobs: the
   number of jobs does not depend on how many there are.
 - **Steps.** Rows carry their margin in a written table. Trees grown since are applied on the
-  way and folded into a new table every ``REFRESH`` steps, so a step costs the same however
-  many came before. The job that starts a step also scores the steps so far on held-out rows; a
+  way and folded into a new table every ``REFRESH`` steps, which replaces the old one, so a step
+  costs the same however many came before. The job that starts a step also scores the steps so far on held-out rows; a
   segment whose error has not fallen for ``patience`` steps takes no more, and keeps the number
   of trees that did best.
 - **Sampling** of rows and columns is by hash, sums are of whole numbers (``UNIT``), so reruns
@@ -40,15 +40,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.columns import LABEL
-from shelfcast.session import written
+from shelfcast.session import forget, written
 
 BINS = 64
 ACCURACY = 5000
-REFRESH = 20
+REFRESH = 2
 UNIT = 1 << 20
 LEAF_LIMIT = 8.0
 SEGMENTS = 1000
-CELL_LIMIT = 500_000
+CELL_LIMIT = 4_000_000
 ONE_TASK_CELLS = 100_000
 TASK_ROWS = 250_000
 
@@ -460,7 +460,8 @@ def _steps(rows: DataFrame, model: Boosted) -> Boosted:
         model.trees.append(tree)
         pending.append(tree)
         if len(pending) == REFRESH:
-            rows, pending = _refreshed(rows, model, pending), []
+            old, rows, pending = rows, _refreshed(rows, model, pending), []
+            forget(old, "boost-rows")
     model.best = best
     model.trees = model.trees[: int(best.max(initial=0))]
     return model

@@ -117,6 +117,16 @@ def written(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame, label: str) -> None:
+    """Remove the files of a table that ``written`` made under ``label`` and nothing reads any more."""
+    spark = df.sparkSession
+    base = _application_dir(spark, shared_dir(spark))
+    for folder in {os.path.dirname(name) for name in df.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if f"{os.path.basename(base)}/{label}-" in folder:
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fits(df: DataFrame, limit: int) -> bool:
     """True when ``df`` has at most ``limit`` rows; reads no further than that."""
     return df.limit(limit + 1).count() <= limit

@@ -174,6 +174,19 @@ def test_no_column_is_sorted_for_its_borders(table):
     assert "Sort " not in plan and plan.count("Exchange") == 1
 
 
+def test_only_named_tables_of_the_application_are_removed(spark, tmp_path):
+    from shelfcast.session import forget, written
+
+    path = str(tmp_path / "mine")
+    spark.range(5).write.parquet(path)
+    mine, kept, gone = spark.read.parquet(path), written(spark.range(5), "kept"), written(spark.range(5), "gone")
+    for df in (mine, kept, gone):
+        forget(df, "gone")
+    assert mine.count() == kept.count() == 5
+    with pytest.raises(Exception, match="(?i)not_exist|not exist"):
+        gone.count()
+
+
 def test_odd_tables(spark, table):
     none = table.limit(0)
     model = boosting.boost(none, ["a"], PLAN)
