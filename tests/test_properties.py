@@ -185,6 +185,18 @@ def test_shuffles_are_sized_by_input():
     assert shuffle_partitions(10**9) == 200 and shuffle_partitions(10**14) == 745_059
 
 
+def test_merged_partitions_do_not_grow_with_the_input(mart, spark):
+    """Partitions of some 8 MB would stay if they were merged by the number of cores alone."""
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        for rows, least in ((1_000_000, 4), (8_000_000, 25)):
+            table = spark.range(rows).select(F.xxhash64("id").alias("id")).repartition("id")
+            assert table.rdd.getNumPartitions() >= least
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
 def test_date_filter_reaches_the_scan(mart):
     plan = plan_of(filters.from_date(mart.cells, dt.date(2001, 1, 1)).select("id", "date", "qty"))
     assert "GreaterThanOrEqual(date,2001-01-01)" in plan and "cents" not in plan
