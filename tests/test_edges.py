@@ -1,7 +1,9 @@
 """Hand-made tables at the edges of each rule."""
 
 import datetime as dt
+import gzip
 import math
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -279,3 +281,15 @@ def test_clustered_writes_bound_their_files(spark, tmp_path, file_rows):
     # The hot key is written by several tasks where it fills several files.
     hot = [f for f in found if "store_id=hot" in str(f)]
     assert len({f.name.split("-")[1] for f in hot}) >= (2 if file_rows == 50 else 1)
+
+
+def test_exports_take_less_room_than_their_text(mart):
+    """The training export and its splits are compressed files that read back whole."""
+    from shelfcast.queries import storage
+
+    path, schema = storage._export(mart, "train")
+    found = list(Path(path.removeprefix("file://")).rglob("part-*"))
+    assert found and all(f.name.endswith(".csv.gz") for f in found)
+    rows = [r for f in found for r in gzip.open(f, "rt").read().splitlines()[1:]]
+    assert storage._exported(mart, "train").count() == len(rows) > 0
+    assert sum(f.stat().st_size for f in found) * 4 < sum(len(r) + 1 for r in rows)
