@@ -196,3 +196,19 @@ def test_odd_tables(spark, table):
     assert boosting.predict(model, table, ["id", "date"]).agg(F.max("pred")).first()[0] < 1e-9
     unlabelled = table.withColumn("Value", F.lit(None).cast("int"))
     assert boosting.boost(unlabelled, ["a"], PLAN).segments == []
+
+
+def test_rows_and_cells_travel_together(table, monkeypatch):
+    """A step's table has a row per block, a task sends a row per node and feature, and the cells are those of the rows."""
+    seen = []
+    real = boosting.written
+    monkeypatch.setattr(boosting, "written", lambda df, label, *by: seen.append(real(df, label, *by)) or seen[-1])
+    monkeypatch.setattr(boosting, "TASK_ROWS", 1000)
+    model = boosting.boost(table, ["a", "b", "c"], dataclasses.replace(PLAN, steps=1), F.col("date") % 10 == 0)
+    assert model.tasks == 3 and all(0 < t.count() <= 6 for t in seen)
+    flat = boosting.Tree.empty(1, PLAN.depth)
+    cells = boosting._cells(seen[0], model, [], flat, 0, 0, np.ones(1, bool))
+    got = cells.filter("feature >= 0").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("a").alias("a"), F.count("*") == F.count_distinct("bin")).collect()
+    known = table.filter("date % 10 <> 0")
+    total = known.agg(F.sum("Value")).first()[0]
+    assert sorted((r[0], r[1], r[2] / boosting.UNIT, r[3]) for r in got) == [(k, known.count(), total, True) for k in range(3)]
