@@ -234,3 +234,22 @@ def test_unbounded_sides_are_joined_by_shuffle(spark):
     finally:
         module.DAY_LIMIT = limit
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_dense_days_are_made_after_the_shuffle(spark, monkeypatch):
+    """Only series and cells are shuffled, into as many partitions as the days need; every day has its row."""
+    first, last = dt.date(2000, 1, 1), dt.date(2000, 1, 10)
+    mart = retail.Mart(spark, "unused")
+    mart.__dict__["span"] = retail.Span(first, last)
+    names = ", ".join(f"{c} string" for c in retail.SERIES_COLS)
+    mart._tables["series"] = spark.createDataFrame([tuple(f"{c}{i}" for c in retail.SERIES_COLS) for i in range(6)], names)
+    sold = [("id0", first, 5), ("id3", last, 7), ("id3", dt.date(2000, 2, 1), 9)]
+    mart._tables["cells"] = spark.createDataFrame(sold, "id string, date date, qty bigint")
+    monkeypatch.setattr(retail, "DENSE_ROWS", 20)
+    dense = mart._dense(first, last)
+    plan = plan_of(dense)
+    assert plan.index("Generate") < plan.index("Exchange") and plan.count("Exchange hashpartitioning(id") == 2
+    assert dense.rdd.getNumPartitions() == 3
+    rows = {(r["id"], r["d"]): r["Value"] for r in dense.collect()}
+    assert len(rows) == dense.count() == 60
+    assert {k: v for k, v in rows.items() if v} == {("id0", "d_1"): 5, ("id3", "d_10"): 7}
