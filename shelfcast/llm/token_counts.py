@@ -15,7 +15,8 @@ as one chunk, so every document gets its exact count.
 
 Inside a chunk or a short document the same holds at a blank between two characters that are
 no blanks: the blank starts a pre-token. Each worker keeps the counts of such pieces, up to
-``PIECES_KEPT``, and encodes a piece it knows only once.
+``PIECES_KEPT``, and encodes a piece it knows only once. Of a chunk only the two ends, up to the
+first such blank past an overlap, are encoded with offsets; what lies between is counted by pieces.
 
 Defined cases: a null or empty text has no bytes and no tokens; null and repeated ids get a
 row each; an empty table gives no rows. Only ``doc_id`` and ``text`` are read.
@@ -90,6 +91,20 @@ class PieceCounter:
             start = stop
         return out
 
+    def ends(self, text: str, overlap: int, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """As ``boundaries``, but those up to ``overlap`` and from ``size`` on are enough: the middle is only counted."""
+        head = SAFE_BLANK.search(text, overlap + 1)
+        stop, tail = min(size, len(text)), None
+        for tail in SAFE_BLANK.finditer(text, max(stop - overlap, 0), stop):
+            pass
+        if head is None or tail is None or head.start() >= tail.start():
+            return self.boundaries(text)
+        low, high = head.start(), tail.start()
+        at, n, before = self.boundaries(text[:low])
+        before += self.count([text[low:high]])[0]
+        tail_at, tail_n, total = self.boundaries(text[high:])
+        return np.concatenate([at, tail_at + high]), np.concatenate([n, tail_n + before]), before + total
+
     def boundaries(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
         """Offsets at which a pre-token starts, the tokens before each, and all tokens."""
         found = self.tokenizer.encode(text, add_special_tokens=False)
@@ -137,7 +152,7 @@ def _chunks(rows: DataFrame, tokenizer: str, size: int, overlap: int) -> DataFra
         for batch in batches:
             out: list[list] = [[] for _ in range(8)]
             for key, chunk, chunks, piece in zip(*[batch.column(k).to_pylist() for k in range(4)]):
-                at, n, total = counter.boundaries(piece)
+                at, n, total = counter.ends(piece, overlap, size)
                 head = (at >= GUARD) & (at <= overlap)
                 tail = (at >= size) & (at <= len(piece) - GUARD)
                 at = at + chunk * size

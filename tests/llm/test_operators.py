@@ -593,6 +593,23 @@ def test_overlaps_widen_until_chunks_align(spark):
     assert got == {k: len(tokenizer.encode(t, add_special_tokens=False).ids) for k, t in enumerate(texts)}
 
 
+def test_only_the_ends_of_a_chunk_are_encoded_with_offsets(monkeypatch):
+    counter = token_counts.PieceCounter(BYTE_FILE)
+    whole, given = counter.boundaries, []
+    monkeypatch.setattr(counter, "boundaries", lambda text: given.append(len(text)) or whole(text))
+    size, lap = 4000, 300
+    texts = [prose(k, 1200) for k in range(5)] + [prose(7, 700)[:3900], "x" * 4300, " " * 4300, "a  b" * 1000 + " <|endoftext|> é" * 40, "tail"]
+    for text in texts:
+        text, n = text[: size + lap], len(given)
+        at, before, total = counter.ends(text, lap, size)
+        wanted_at, wanted_before, wanted = whole(text)
+        assert total == wanted
+        for inside in (lambda x: x <= lap, lambda x: x >= size):
+            assert list(zip(at[inside(at)], before[inside(at)])) == list(zip(wanted_at[inside(wanted_at)], wanted_before[inside(wanted_at)]))
+        if text.startswith("w"):
+            assert sum(given[n:]) < 4 * lap
+
+
 # -- substring dedup ----------------------------------------------------------------------
 def brute_spans(given, window=50):
     first = {}
