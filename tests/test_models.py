@@ -101,6 +101,39 @@ def test_item_search_does_not_cancel(spark):
     assert got[1.0] == pytest.approx(wanted, rel=1e-6)
 
 
+def test_kept_nodes_change_no_tree_and_serve_few_rows_only(table, monkeypatch):
+    columns, made = ["code", "weekday", "weekend"], []
+    plain = learners.RandomForestRegressor
+    monkeypatch.setattr(learners, "RandomForestRegressor", lambda **given: made.append(given["cacheNodeIds"]) or plain(**given))
+    kept = learners.fit_forest(table, columns, trees=12, depth=6, share="0.5")
+    monkeypatch.setattr(learners, "NODES_KEPT", 12 * table.count() - 1)
+    walked = learners.fit_forest(table, columns, trees=12, depth=6, share="0.5")
+    assert made == [True, False] and kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+
+
+@pytest.mark.parametrize("keys", [[], ["store_id", "dept_id"]])
+def test_daily_sums_need_no_dense_sales(spark, sf_dir, keys):
+    from shelfcast.operators import rollup
+    from shelfcast.queries import common
+    from shelfcast.sources.retail import Mart
+
+    fresh = Mart(spark, sf_dir)
+    got = common.daily_sums(fresh, keys).persist()
+    assert got.count() == fresh.span.train_days * max(fresh.series.select(*keys).distinct().count() if keys else 1, 1)
+    assert "sales" not in fresh._tables
+    wanted = rollup.sum_by(common.dated_sales(fresh), keys)
+    assert got.columns == wanted.columns and got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+
+
+def test_forests_of_sums_build_no_dense_sales(spark, sf_dir):
+    from shelfcast.queries import models
+    from shelfcast.sources.retail import Mart
+
+    fresh = Mart(spark, sf_dir)
+    models._total(fresh), models._groups(fresh)
+    assert "sales" not in fresh._tables
+
+
 @pytest.mark.parametrize("name", ["gbm_global_forecast", "gbm_per_store_forecast", "gbm_tweedie_forecast", "rf_bottom_forecast", "rf_store_dept_forecast", "topdown_forest"])
 def test_model_queries_cover_the_horizon(name, spark, sf_dir):
     out = REGISTRY[name](spark, sf_dir).persist()
