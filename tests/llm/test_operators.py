@@ -576,6 +576,49 @@ def test_licence_sample_is_the_same_each_time(spark, licence_docs):
     assert np.allclose(first.weights, again.weights, atol=1e-6) and first.threshold == pytest.approx(again.threshold)
 
 
+def test_licence_fit_learns_from_every_document(spark, monkeypatch):
+    """A fit that starts from few documents has a lower loss over all of them than a fit of those few."""
+    told = sorted({w for f in licences.FAMILIES for n in licences.NOTICES[f] for run in licences.notice_runs(n) for w in run.split()})
+    line = lambda k: " ".join(told[(5 * k + j // 4) % len(told)] if j % 4 == 0 else f"w{(7 * k + j) % 300:x}" for j in range(20))
+    table = documents(spark, [(k, ". ".join(line(6 * k + j).capitalize() for j in range(6)), "a") for k in range(300)])
+    draw = F.xxhash64("doc_id", "text")
+    pieces = table.filter(F.pmod(draw, F.lit(2)) == 0).select(F.explode(licences.paragraphs(F.col("text"))).alias("x"))
+    ordinary = pieces.select(F.lit(licences.NONE).alias("label"), licences.plain_words(F.col("x")).alias("tokens")).filter("size(tokens) > 0")
+    rows = licences._notices(spark).unionByName(ordinary).select("label", F.array_distinct(licences.buckets(F.col("tokens"))).alias("found")).collect()
+    n = ordinary.count()
+
+    def loss(model):
+        total, weights = 0.0, 0.0
+        for r in rows:
+            margins = model.weights[:, r.found].sum(1) + model.intercepts
+            weight = n / 30 if r.label < licences.NONE else 1.0
+            total += weight * (np.log(np.exp(margins - margins.max()).sum()) + margins.max() - margins[r.label])
+            weights += weight
+        return total / weights + licences.REGULAR / 2 * (model.weights**2).sum()
+
+    least = loss(licences.fit(table))
+    monkeypatch.setattr(licences, "SAMPLE", 40)
+    few = [r.draw for r in table.select(draw.alias("draw")).distinct().orderBy("draw").limit(40).collect()]
+    alone, every = loss(licences.fit(table.filter(draw.isin(few)))), loss(licences.fit(table))
+    assert least < every < least + 0.6 * (alone - least)
+
+
+def test_licence_threshold_comes_from_every_document_held_out(spark, licence_docs, monkeypatch):
+    """The quantile over all ordinary paragraphs of the documents held out, recomputed."""
+    monkeypatch.setattr(licences, "SAMPLE", 5)
+    monkeypatch.setattr(licences, "FALSE_RATE", 0.01)
+    # Paragraphs that a fit takes for a licence, though no three words in a row are a notice's; none is in the fit.
+    odd = documents(spark, [(9000 + k, f"Copyright license permission apache license notice mit license w{k} licensed software.", "a") for k in range(40)])
+    table = documents(spark, licence_docs[0]).unionByName(odd.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)) == 1))
+    model = licences.fit(table.unionByName(table))
+    rows = table.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)) == 1).select(F.explode(licences.paragraphs(F.col("text"))).alias("x"))
+    rows = rows.select(licences.plain_words(F.col("x")).alias("tokens")).filter("size(tokens) > 0")
+    known = {t for f in licences.FAMILIES for n in licences.NOTICES[f] for t in licences.notice_runs(n)} | {t for n in licences.OTHERS for t in licences.notice_runs(n)}
+    scored = model.score(rows, bounded=False).collect()
+    best = sorted(max(r.p[: len(licences.FAMILIES)]) for r in scored if not known & {" ".join(r.tokens[k : k + 3]) for k in range(max(len(r.tokens) - 2, 1))})
+    assert model.threshold > 0.5 and model.threshold == pytest.approx(best[math.ceil(0.99 * len(best)) - 1])
+
+
 # -- token counts -------------------------------------------------------------------------
 def test_token_counts(docs):
     tokenizer = Tokenizer.from_file(BYTE_FILE)
