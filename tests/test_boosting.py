@@ -212,3 +212,36 @@ def test_rows_and_cells_travel_together(table, monkeypatch):
     known = table.filter("date % 10 <> 0")
     total = known.agg(F.sum("Value")).first()[0]
     assert sorted((r[0], r[1], r[2] / boosting.UNIT, r[3]) for r in got) == [(k, known.count(), total, True) for k in range(3)]
+
+
+@pytest.mark.parametrize("power", [1.0, 1.1])
+def test_trees_do_not_depend_on_where_cells_meet(table, monkeypatch, power):
+    held = F.col("date") % 10 == 0
+    plan = dataclasses.replace(PLAN, steps=2, depth=4, power=power, columns=0.7)
+    grown = lambda: boosting.boost(table, ["a", "b", "c"], plan, held, "store_id", ["c"])
+    driver = grown()
+    monkeypatch.setattr(boosting, "TASK_ROWS", 400)
+    monkeypatch.setattr(boosting, "MERGED_ROWS", 1)
+    monkeypatch.setattr(boosting, "FEW_BYTES", 0)
+    shuffled = grown()
+    assert shuffled.tasks > 1 and len(driver.trees) == len(shuffled.trees) == 2
+    for x, y in zip(driver.trees, shuffled.trees):
+        assert np.array_equal(x.feature, y.feature) and np.array_equal(x.left, y.left) and np.allclose(x.value, y.value)
+    assert [x["rmse"] for x in driver.curve] == pytest.approx([x["rmse"] for x in shuffled.curve])
+
+
+def test_a_level_of_few_cells_is_one_job(spark, table, monkeypatch):
+    """A step is short jobs, so each of them counts."""
+    seen = []
+    real = boosting.written
+    monkeypatch.setattr(boosting, "written", lambda df, label, *by: seen.append(real(df, label, *by)) or seen[-1])
+    monkeypatch.setattr(boosting, "TASK_ROWS", 1000)
+    model = boosting.boost(table, ["a", "b", "c"], dataclasses.replace(PLAN, steps=0))
+    context = spark.sparkContext
+    context.setJobGroup("one-step", "one step")
+    try:
+        tree, _ = boosting._grow(seen[0], model, [], 0, np.ones(1, bool))
+        jobs = context.statusTracker().getJobIdsForGroup("one-step")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert model.tasks == 3 and tree.feature[0, 4:8].max() >= 0 and len(jobs) == PLAN.depth
